@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prumo.llm import exact_dedup, line_dedup, mixing
+from prumo.llm import exact_dedup, line_dedup, mixing, ngram_join
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.digest(_documents(spark, sf_dir))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(_documents(spark, sf_dir))
 
@@ -23,5 +27,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op5_exact_dedup, op10_line_dedup)}
-ORACLE_SQL = {"op2_mixing": mixing.SQL, "op5_exact_dedup": exact_dedup.SQL, "op10_line_dedup": line_dedup.SQL}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_mixing, op5_exact_dedup, op10_line_dedup)}
+ORACLE_SQL = {"op1_ngram_join": ngram_join.SQL, "op2_mixing": mixing.SQL, "op5_exact_dedup": exact_dedup.SQL, "op10_line_dedup": line_dedup.SQL}
