@@ -148,3 +148,38 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
             yield batch.slice(a, b - a)
+
+
+def pack(batch: pa.RecordBatch) -> bytes:
+    """A batch as compressed bytes, so that a chunk of rows travels as one small value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack(data: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data).read_all().combine_chunks().to_batches()[0]
+
+
+def chunks(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Regroup rows into batches of about `most` bytes of text, across the borders of the incoming batches."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for whole in batches:
+        for part in slices(whole, column, most):
+            own = pc.sum(pc.binary_length(part.column(column))).as_py() or 0
+            if held and size + own > most:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+            held.append(part)
+            size += own
+    if held and sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def ask(values: np.ndarray, n_buckets: int) -> list[tuple[int, np.ndarray]]:
+    """Ascending distinct hashes, cut into hash-range buckets."""
+    home = ((values >> U64(32)) * U64(n_buckets)) >> U64(32)
+    cuts = np.r_[np.flatnonzero(np.r_[True, home[1:] != home[:-1]]), len(home)] if len(values) else np.zeros(1, np.int64)
+    return [(int(home[a]), values[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
