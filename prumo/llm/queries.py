@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prumo.llm import exact_dedup, line_dedup, mixing, ngram_join, substring_dedup
+from prumo.llm import exact_dedup, line_dedup, mixing, ngram_join, substring_dedup, token_store
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.digest(_documents(spark, sf_dir))
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.digest(_documents(spark, sf_dir))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(_documents(spark, sf_dir))
 
@@ -31,5 +35,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_mixing, op5_exact_dedup, op9_substring_dedup, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_mixing, op5_exact_dedup, op6_token_store, op9_substring_dedup, op10_line_dedup)}
 ORACLE_SQL = {"op1_ngram_join": ngram_join.SQL, "op2_mixing": mixing.SQL, "op5_exact_dedup": exact_dedup.SQL, "op9_substring_dedup": substring_dedup.SQL, "op10_line_dedup": line_dedup.SQL}
