@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prumo.llm.common import _LOWER, U64, _powers, hash_words, materialize, mix64, slices, text_buffer, windows
+from prumo.llm.common import U64, hash_words, materialize, slices, trim, windows
 
 #: Template tokens of a window; a shorter item is one window, if it has SHORTEST tokens.
 WINDOW = 13
@@ -28,7 +28,6 @@ UNITS = (
 ).split()
 
 _DIGIT = np.array([48 <= c < 58 for c in range(256)])
-_EDGE = np.array([33 <= c < 127 and not chr(c).isalnum() for c in range(256)])  # ASCII punctuation
 _CAPITAL = np.array([65 <= c < 91 for c in range(256)])
 _STOP = np.array([chr(c) in ".!?:" for c in range(256)])
 NUM, UNIT, NAME = (U64(x) for x in (0x6E756D6265720001, 0x756E697400000001, 0x6E616D6500000001))
@@ -56,7 +55,7 @@ def template(col: pa.Array) -> Template:
         _UNIT_HASHES.append(np.zeros(0, U64))
         _UNIT_HASHES[0] = np.sort(template(pa.array(["x " + " x ".join(UNITS)])).codes[1::2])
     words = hash_words(col, lower=True)
-    buf, starts, ends = words.buf, words.starts.copy(), words.ends.copy()
+    buf, starts, ends = words.buf, words.starts, words.ends
     n = len(buf)
     doc = np.repeat(np.arange(len(words.offsets) - 1), np.diff(words.offsets))
     if not len(starts):
@@ -64,17 +63,8 @@ def template(col: pa.Array) -> Template:
     opens = np.ones(len(starts), bool)  # the word opens a text, a line or a sentence
     breaks = np.r_[0, np.cumsum(buf == 0x0A)]
     opens[1:] = (doc[1:] != doc[:-1]) | _STOP[buf[words.ends[:-1] - 1]] | (breaks[starts[1:]] > breaks[words.ends[:-1]])
-    for edge, step in ((starts, 1), (ends, -1)):
-        left = np.arange(len(starts))
-        while len(left):
-            left = left[(starts[left] < ends[left]) & _EDGE[buf[np.minimum(edge[left] - (step < 0), n - 1)]]]
-            edge[left] += step
-    full = starts < ends
-    starts, ends, doc, opens = starts[full], ends[full], doc[full], opens[full]
-    power, inverse = _powers(n)
-    sums = np.zeros(n + 1, U64)
-    np.cumsum(_LOWER[buf] * power[:n], out=sums[1:])
-    codes = mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
+    full, starts, ends, codes = trim(words)
+    doc, opens = doc[full], opens[full]
     digits = np.r_[0, np.cumsum(_DIGIT[buf])]
     number = digits[ends] > digits[starts]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prumo.llm import decontaminate, exact_dedup, hmm_lm, line_dedup, mixing, ngram_join, quality, substring_dedup, token_store
+from prumo.llm import decontaminate, exact_dedup, hmm_lm, licenses, line_dedup, mixing, ngram_join, quality, substring_dedup, token_store
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(_documents(spark, sf_dir))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(_documents(spark, sf_dir))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -47,5 +51,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_mixing, op4_quality_classifier, op5_exact_dedup, op6_token_store, op7_decontaminate, op8_hmm_lm, op9_substring_dedup, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_mixing, op3_license_scan, op4_quality_classifier, op5_exact_dedup, op6_token_store, op7_decontaminate, op8_hmm_lm, op9_substring_dedup, op10_line_dedup)}
 ORACLE_SQL = {"op1_ngram_join": ngram_join.SQL, "op2_mixing": mixing.SQL, "op5_exact_dedup": exact_dedup.SQL, "op9_substring_dedup": substring_dedup.SQL, "op10_line_dedup": line_dedup.SQL}
