@@ -116,6 +116,26 @@ def hash_words(col: pa.Array, lower: bool) -> Words:
     return Words(hashes, np.searchsorted(starts, bounds), starts, ends, buf)
 
 
+_EDGE = np.array([33 <= c < 127 and not chr(c).isalnum() for c in range(256)])  # ASCII punctuation
+
+
+def trim(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words without ASCII punctuation at their ends: flags of those that aren't empty then, and of these the starts, the
+    ends and the hashes with A-Z as a-z."""
+    buf, starts, ends = words.buf, words.starts.copy(), words.ends.copy()
+    for edge, step in ((starts, 1), (ends, -1)):
+        left = np.arange(len(starts))
+        while len(left):
+            left = left[(starts[left] < ends[left]) & _EDGE[buf[np.minimum(edge[left] - (step < 0), len(buf) - 1)]]]
+            edge[left] += step
+    full = starts < ends
+    starts, ends = starts[full], ends[full]
+    power, inverse = _powers(len(buf))
+    sums = np.zeros(len(buf) + 1, U64)
+    np.cumsum(_LOWER[buf] * power[: len(buf)], out=sums[1:])
+    return full, starts, ends, mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
+
+
 def windows(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of the k words from each position on; one entry for each position that has k words."""
     n = len(hashes) - k + 1
