@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from prumo.plans import records
+
+QUERIES: dict = {**records.QUERIES}
+ORACLE_SQL: dict = {**records.ORACLE_SQL}
