@@ -19,13 +19,17 @@ from prumo.llm.common import _IS_SPACE, _TABLE, U64, _powers, chunks, mix64, scr
 SHARD = 4 << 20
 END = 2
 
+_ALNUM = np.array([chr(c).isalnum() and c < 128 for c in range(256)])
+_PUNCTUATION = np.array([33 <= c < 127 and not chr(c).isalnum() for c in range(256)])
+
 
 class Encoder:
     """Encodes many texts with a byte-level BPE tokenizer, each distinct piece once.
 
-    The tokenizer's pattern always starts a new piece at a space before a character that isn't white space, and merges
-    never cross pieces. So texts are cut there, and a piece's ids don't depend on its neighbours. Texts with Unicode white
-    space or with "<|" (special tokens) are left to the tokenizer whole.
+    The tokenizer's pattern always starts a new piece at a space before a character that isn't white space, at ASCII
+    punctuation after a letter or digit, and at and after a line break that stands alone; merges never cross pieces. So
+    texts are cut there, and a piece's ids don't depend on its neighbours. Texts with Unicode white space or with "<|"
+    (special tokens) are left to the tokenizer whole.
     """
 
     MOST = 1_500_000  # pieces kept
@@ -49,31 +53,33 @@ class Encoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
-    def _learn(self, keys: list[int], pieces: list[bytes]) -> None:
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
         """Adds pieces: those that start with a space are encoded as one text and told apart by their bytes."""
-        parts: list[np.ndarray | None] = [None] * len(pieces)
-        joint = [k for k, p in enumerate(pieces) if p[:1] == b" "]
+        spaced = np.array([p[:1] == b" " for p in pieces], bool)
+        joint, sizes = [p for p, own in zip(pieces, spaced.tolist(), strict=True) if own], np.zeros(len(pieces), np.int64)
+        parts = []
         if joint:
-            ids = self._whole(b"".join(pieces[k] for k in joint).decode())
-            ends, cuts = np.cumsum(self.width[ids]), np.cumsum([len(pieces[k]) for k in joint])
+            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(joint).decode()], add_special_tokens=False)[0].ids, np.int32)
+            ends, cuts = np.cumsum(self.width[ids]), np.cumsum([len(p) for p in joint])
             places = np.searchsorted(ends, cuts)
-            if len(ids) and places[-1] < len(ends) and (ends[places] == cuts).all():
-                for k, part in zip(joint, np.split(ids, places[:-1] + 1), strict=True):
-                    parts[k] = part
-        for k, p in enumerate(parts):
-            if p is None:
-                parts[k] = self._whole(pieces[k].decode())
-        sizes = np.array([len(p) for p in parts], np.int64)
+            if places[-1] >= len(ends) or (ends[places] != cuts).any():
+                raise ValueError("the tokenizer doesn't start pieces at spaces")
+            sizes[spaced] = np.diff(places, prepend=-1)
+            parts.append(ids)
+        rest = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p, own in zip(pieces, spaced.tolist(), strict=True) if not own], add_special_tokens=False)]
+        sizes[~spaced] = [len(r) for r in rest]
+        parts += [np.array(r, np.int32) for r in rest]
+        order = np.r_[np.flatnonzero(spaced), np.flatnonzero(~spaced)]
         n, total = len(self.known), int(sizes.sum())
-        while n + len(parts) > len(self.at):
+        while n + len(pieces) > len(self.at):
             self.at, self.size = np.resize(self.at, 2 * len(self.at)), np.resize(self.size, 2 * len(self.size))
         while self.used + total > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.at[n : n + len(parts)] = self.used + np.cumsum(sizes) - sizes
-        self.size[n : n + len(parts)] = sizes
+        self.size[n : n + len(pieces)] = sizes[order]
+        self.at[n : n + len(pieces)] = self.used + np.cumsum(sizes[order]) - sizes[order]
         self.ids[self.used : self.used + total] = np.concatenate(parts)
         self.used += total
-        self.known.update(zip(keys, range(n, n + len(parts)), strict=True))
+        self.known.update(zip(keys[order].tolist(), range(n, n + len(pieces)), strict=True))
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (each followed by END), and how many each text has. Null counts as empty."""
@@ -88,9 +94,13 @@ class Encoder:
         filled = bounds[1:] > bounds[:-1]
         first = np.zeros(n, bool)
         if n:
-            first[:-1] = (buf[:-1] == 0x20) & ~_IS_SPACE[buf[1:]]
-            last = bounds[1:][filled] - 1
-            first[last] = False  # a space at the end of a text; the next text's first byte may follow it
+            space = _IS_SPACE[buf]
+            first[:-1] = (buf[:-1] == 0x20) & ~space[1:]
+            first[bounds[1:][filled] - 1] = False  # a space at the end of a text; the next text's first byte may follow it
+            letter = _ALNUM[buf]
+            letter[1:] |= (buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] != 0x97) & (buf[1:] != 0xB7)
+            first[1:] |= _PUNCTUATION[buf[1:]] & letter[:-1] | (buf[1:] == 0x0A) & ~space[:-1]
+            first[2:] |= ~space[2:] & (buf[1:-1] == 0x0A) & ~space[:-2]
             first[bounds[:-1][filled]] = True
         starts = np.flatnonzero(first)
         ends = np.r_[starts[1:], n] if len(starts) else starts
@@ -106,7 +116,7 @@ class Encoder:
         new = [i for i, v in enumerate(numbers) if v < 0]
         if new:
             raw = buf.tobytes()
-            self._learn([names[i] for i in new], [raw[a:b] for a, b in zip(starts[index[new]].tolist(), ends[index[new]].tolist(), strict=True)])
+            self._learn(keys[new], [raw[a:b] for a, b in zip(starts[index[new]].tolist(), ends[index[new]].tolist(), strict=True)])
             for i in new:
                 numbers[i] = self.known[names[i]]
         number = np.array(numbers, np.int64)[which] if len(numbers) else np.zeros(0, np.int64)

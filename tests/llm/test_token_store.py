@@ -8,7 +8,7 @@ from prumo.llm import token_store
 from prumo.llm.wavelet import WaveletMatrix, read_shard, write_shard
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
-TEXTS = ["Hello world", None, "", " ", "a  b   c ", "x\n  y\n\n z\n", "it's  we'll", "<|endoftext|> a <|endoftext|>", "café 　 naïve x", "tab\t end   z", "end \x1c z", " lead", "trail ", "a", "\n", "\U0001f600 \U0001f600", "12 345 6!! ??"]
+TEXTS = ["Hello world", None, "", " ", "a  b   c ", "x\n  y\n\n z\n", "it's  we'll", "<|endoftext|> a <|endoftext|>", "café 　 naïve x", "tab\t end   z", "end \x1c z", " lead", "trail ", "a", "\n", "\U0001f600 \U0001f600", "12 345 6!! ??", "a.b,c\n\nd\ne \nf", "\nx\n", "\n\ny", "don't we'll's x'sy (é) é, ×, ÷. ß—,", "a,", ",", "é", "x\n", "9.5%\t", "..a..1.. .b"]
 
 
 def _tokenizer():
@@ -44,6 +44,16 @@ def test_wavelet_matrix(n, top):
     assert m.count(99999) == 0
 
 
+def test_encoder_on_random_texts():
+    rng = np.random.default_rng(1)
+    enc = token_store.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    letters = list("ab1 \n\n  ..,'sé×\t-|<\u00a0")
+    texts = ["".join(rng.choice(letters, rng.integers(0, 30))) for _ in range(3000)]
+    ids, sizes = enc.encode(pa.array(texts))
+    for t, p in zip(texts, np.split(ids, np.cumsum(sizes)[:-1])):
+        assert p.tolist() == [*enc.tokenizer.encode(t, add_special_tokens=False).ids, 2], repr(t)
+
+
 def test_round_trip(spark):
     rows = [(k if k != 3 else None, t) for k, t in enumerate(TEXTS)] + [(100 - k, f"text number {k} " * k) for k in range(60)] + [(5, "again"), (5, "again")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
