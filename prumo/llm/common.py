@@ -38,6 +38,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a materialised table that nothing reads any more."""
+    spark = df.sparkSession
+    base = scratch_dir(spark)
+    for file in df.inputFiles()[:1]:
+        folder = file.rsplit("/", 1)[0]
+        if "/prumo-" in folder and base.split(":", 1)[-1].strip("/") in folder:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def buckets(spark: SparkSession, factor: int = 1) -> int:
     """Number of hash buckets for packed shuffles; follows the session's shuffle partitions, which follow the data."""
     return max(8, factor * int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -129,8 +129,9 @@ def dedup(docs: DataFrame, points: int = len(POINTS)) -> DataFrame:
         if left.isEmpty():
             break
     settled = settled.dropDuplicates(["doc_id"])
-    members = known.join(settled, "doc_id")
+    members = materialize(known.join(settled, "doc_id"), "members")
     sizes = members.groupBy("leader").agg(F.min_by("doc_id", F.struct(-F.col("chars"), F.col("doc_id"))).alias("keep_id"), F.count("*").alias("group_size"))
+    sizes = materialize(sizes, "kept")  # on its own, so that Spark can split the join below at a very large group
     out = members.join(sizes, "leader").select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256", "chars")
     alone = facts.filter("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", "chars")
     return out.union(alone)

@@ -7,20 +7,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prumo.llm.common import SPACES
+from prumo.llm.common import SPACES, materialize
 
-_STRIP = SPACES.decode()
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def key_of(line: str) -> str:
-    """A line without white space at its ends, with A-Z as a-z."""
-    return line.strip(_STRIP).translate(_LOWER)
-
-
-def _hashes(text: str, least: int) -> list[bytes | None]:
-    """128-bit hash of each line's key; None where the key is too short to count."""
-    return [xxhash.xxh3_128_digest(k.encode("utf-8", "surrogatepass")) if len(k := key_of(line)) >= least else None for line in text.split("\n")]
+def _hashes(text: bytes, least: int) -> list[bytes | None]:
+    """128-bit hash of each line's key: the line without white space at its ends, with A-Z as a-z; None for a key of
+    fewer than `least` code points."""
+    out: list[bytes | None] = []
+    for line in text.translate(_LOWER).split(b"\n"):
+        key = line.strip(SPACES)
+        n = len(key)
+        if n >= least and (n >= 4 * least or len(key.decode()) >= least):
+            out.append(xxhash.xxh3_128_digest(key))
+        else:
+            out.append(None)
+    return out
 
 
 def _count(least: int):
@@ -28,9 +31,9 @@ def _count(least: int):
         for batch in batches:
             count: dict[bytes, int] = {}
             largest: dict[bytes, int] = {}
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 if doc is not None:
-                    for h in set(_hashes(text or "", least)) - {None}:
+                    for h in set(_hashes(text or b"", least)) - {None}:
                         count[h] = count.get(h, 0) + 1
                         largest[h] = max(doc, largest.get(h, doc))
             yield pa.RecordBatch.from_pydict({"hash": pa.array(count.keys(), pa.binary()), "n": pa.array(count.values(), pa.int64()), "keeper": pa.array(largest.values(), pa.int64())})
@@ -42,9 +45,9 @@ def _where(least: int):
     def run(batches):
         for batch in batches:
             docs, found = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 if doc is not None:
-                    own = set(_hashes(text or "", least)) - {None}
+                    own = set(_hashes(text or b"", least)) - {None}
                     docs += [doc] * len(own)
                     found += own
             yield pa.RecordBatch.from_pydict({"hash": pa.array(found, pa.binary()), "doc_id": pa.array(docs, pa.int64())})
@@ -56,14 +59,14 @@ def _drop(least: int):
     def run(batches):
         for batch in batches:
             out = []
-            for doc, text, drops in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                lines = (text or "").split("\n")
+            for doc, text, drops in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                lines = (text or b"").split(b"\n")
                 if drops:
                     gone = set(drops)
-                    kept = [line for line, h in zip(lines, _hashes(text or "", least), strict=True) if h not in gone]
+                    kept = [line for line, h in zip(lines, _hashes(text or b"", least), strict=True) if h not in gone]
                 else:
                     kept = lines
-                out.append((doc, "\n".join(kept), len(lines), len(lines) - len(kept)))
+                out.append((doc, b"\n".join(kept).decode(), len(lines), len(lines) - len(kept)))
             cols = list(zip(*out, strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())], ["doc_id", "kept_text", "n_lines", "n_dropped"])
 
@@ -81,6 +84,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) ->
     """
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     hot = table.mapInArrow(_count(least_chars), "hash binary, n long, keeper long").groupBy("hash").agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper")).filter(F.col("n") >= least_docs)
+    hot = materialize(hot, "lines")  # on its own, so that Spark can split the join below at a line that very many have
     held = table.mapInArrow(_where(least_chars), "hash binary, doc_id long")
     drops = held.join(hot, "hash").filter("doc_id < keeper").groupBy("doc_id").agg(F.collect_set("hash").alias("drops"))
     return table.join(drops.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "drops").mapInArrow(_drop(least_chars), "doc_id long, kept_text string, n_lines long, n_dropped long")

@@ -6,17 +6,20 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from prumo.llm.common import U64, buckets, hash_words, materialize, mix64, slices, windows
-from prumo.llm.graph import components, local_forest
+from prumo.llm.common import U64, ask, buckets, chunks, discard, hash_words, materialize, mix64, pack, slices, unpack, windows
+from prumo.llm.graph import components, local_forest, packed, to_blob
 
 #: Widths of the size classes that share a number of segments.
 RATIO = 1.4
 #: Signatures that a task gathers before it sends them on.
 FLUSH = 1 << 20
+#: Bytes of text that travel as one chunk.
+CHUNK = 2 << 20
 #: Sets that one prefix tree holds at most; larger candidate groups are cut into such blocks.
 BLOCK = 1000
 #: Sets of a large candidate group that every block holds, so that blocks can join through them.
@@ -169,40 +172,47 @@ def signatures(items: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+_SCAN = "bucket int, doc_id long, n long, p1 long, p2 long, blob binary"
+
+
+def _rows(bucket, doc, n=None, p1=None, p2=None, blob=None) -> pa.RecordBatch:
+    size = len(doc)
+    col = lambda v, t: pa.nulls(size, t) if v is None else pa.array(v, t)
+    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(doc, pa.int64()), col(n, pa.int64()), col(p1, pa.int64()), col(p2, pa.int64()), col(blob, pa.binary())], ["bucket", "doc_id", "n", "p1", "p2", "blob"])
+
+
+def _packed(docs: list[int], parts: list[np.ndarray], n_buckets: int):
+    """Rows for the signatures of some documents: edges between those that share one here (bucket -2), and per bucket a
+    blob of five-byte signatures and document numbers, with one document for all that share a signature here."""
+    if not docs:
+        return
+    doc = np.repeat(np.array(docs, np.int64), [len(p) for p in parts])
+    sig = np.concatenate(parts)
+    order = np.argsort(sig, kind="stable")
+    sig, doc = sig[order], doc[order]
+    new, nodes, roots = _shared(sig, doc)
+    if len(nodes):
+        yield _rows([-2], [None], blob=[to_blob(nodes, roots)])
+    sig, doc = sig[new], doc[new]
+    home, rest = ((sig >> U64(32)) * U64(n_buckets)) >> U64(32), sig & U64((1 << 40) - 1)
+    by_doc = np.lexsort((doc, home))
+    home, rest, doc = home[by_doc], rest[by_doc], doc[by_doc]
+    cuts = np.r_[np.flatnonzero(np.r_[True, home[1:] != home[:-1]]), len(home)].tolist()
+    blobs = [np.int64(b - a).tobytes() + (rest[a:b] & U64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (rest[a:b] >> U64(32)).astype(np.uint8).tobytes() + doc[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+    yield _rows(home[cuts[:-1]].astype(np.int32), [None] * len(blobs), blob=blobs)
+
+
+def _shared(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For ascending signatures: flags of the first of equals, and a forest over the documents that share one."""
+    new = np.r_[True, sig[1:] != sig[:-1]]
+    if new.all():
+        return new, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    lead = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return new, *local_forest(doc[~new], lead[~new])
+
+
 def _scan(k: int, num: int, den: int, n_buckets: int):
-    """Rows of facts (bucket -1), of edges between documents that share a segment here (-2), and of packed signatures."""
-
-    def pack(docs, parts):
-        doc = np.repeat(np.array(docs, np.int64), [len(p) for p in parts])
-        sig = np.concatenate(parts)
-        order = np.argsort(sig, kind="stable")
-        sig, doc = sig[order], doc[order]
-        new = np.r_[True, sig[1:] != sig[:-1]]
-        lead = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-        sig_one, doc_one = sig[new], doc[new]  # one document speaks for all that share the signature here
-        pairs = np.unique(np.stack([doc[~new], lead[~new]]), axis=1) if not new.all() else np.zeros((2, 0), np.int64)
-        yield -2, local_forest(*pairs)
-        home = ((sig_one >> U64(32)) * U64(n_buckets)) >> U64(32)  # ascending, as sig is
-        rest = sig_one & U64((1 << 40) - 1)
-        by_doc = np.lexsort((doc_one, home))
-        home, rest, doc_one = home[by_doc], rest[by_doc], doc_one[by_doc]
-        cuts = np.r_[np.flatnonzero(np.r_[True, home[1:] != home[:-1]]), len(home)]
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            yield int(home[a]), np.int64(b - a).tobytes() + (rest[a:b] & U64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (rest[a:b] >> U64(32)).astype(np.uint8).tobytes() + doc_one[a:b].tobytes()
-
-    def batch_of(bucket, doc, n=None, p1=None, p2=None, other=None, blob=None):
-        size = len(doc)
-        col = lambda v, t: pa.nulls(size, t) if v is None else pa.array(v, t)
-        return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(doc, pa.int64()), col(n, pa.int64()), col(p1, pa.int64()), col(p2, pa.int64()), col(other, pa.int64()), col(blob, pa.binary())], ["bucket", "doc_id", "n", "p1", "p2", "other", "blob"])
-
-    def flush(docs, parts):
-        if docs:
-            for home, x in pack(docs, parts):
-                if home == -2:
-                    if len(x[0]):
-                        yield batch_of(np.full(len(x[0]), -2), x[0], other=x[1])
-                else:
-                    yield batch_of([home], [None], blob=[x])
+    """Rows of facts (bucket -1) for every document, and of packed segment signatures."""
 
     def run(batches):
         seen: set[tuple[int, int]] = set()
@@ -224,10 +234,62 @@ def _scan(k: int, num: int, den: int, n_buckets: int):
                         parts.append(signatures(items, num, den))
                         total += len(parts[-1])
                         if total >= FLUSH:
-                            yield from flush(docs, parts)
+                            yield from _packed(docs, parts, n_buckets)
                             docs, parts, total = [], [], 0
-                yield batch_of(np.full(len(ids), -1), ids, n, p1, p2)
-        yield from flush(docs, parts)
+                yield _rows(np.full(len(ids), -1), ids, n, p1, p2)
+        yield from _packed(docs, parts, n_buckets)
+
+    return run
+
+
+def _pack_chunks(batches):
+    task, number = TaskContext.get().partitionId(), 0
+    for part in chunks(batches, "text", CHUNK):
+        yield pa.RecordBatch.from_arrays([pa.array([(task << 32) + number]), pa.array([pack(part)], pa.binary())], ["chunk", "body"])
+        number += 1
+
+
+def _count_asks(k: int, n_buckets: int):
+    """Each chunk's distinct n-grams (five bytes beside the bucket; those that look alike count as one everywhere) with the
+    number of its documents that have them, 255 standing for more."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                values, count = np.unique(np.concatenate([*(s for p in slices(unpack(row["body"]), "text") for s in shingle_sets(p, k))]), return_counts=True)
+                parts = ask(values, n_buckets)
+                counts = np.split(np.minimum(count, 255).astype(np.uint8), np.cumsum([len(v) for _, v in parts])[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in parts], pa.int32()), pa.array([row["chunk"]] * len(parts), pa.int64()), pa.array([len(v) for _, v in parts], pa.int32()), pa.array([(v & U64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (v >> U64(32)).astype(np.uint8).tobytes() + c.tobytes() for (_, v), c in zip(parts, counts, strict=True)], pa.binary())], ["bucket", "chunk", "n", "blob"])
+
+    return run
+
+
+def _count_replies(table: pa.Table) -> pa.Table:
+    """For each chunk's n-grams of this bucket, in how many documents they are: twice the binary logarithm, in a byte."""
+    sizes, blobs = table.column("n").to_pylist(), table.column("blob").to_pylist()
+    values = [np.frombuffer(b, np.uint32, n).astype(U64) | np.frombuffer(b, np.uint8, n, 4 * n).astype(U64) << U64(32) for b, n in zip(blobs, sizes, strict=True)]
+    _, which = np.unique(np.concatenate(values), return_inverse=True)
+    total = np.bincount(which, weights=np.concatenate([np.frombuffer(b, np.uint8, n, 5 * n) for b, n in zip(blobs, sizes, strict=True)]))
+    level = np.minimum(2 * np.log2(total), 255).astype(np.uint8)[which]
+    return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "levels": pa.array([v.tobytes() for v in np.split(level, np.cumsum(sizes)[:-1])], pa.binary())})
+
+
+def _prefixes(k: int, num: int, den: int, n_buckets: int):
+    """Signatures from prefixes: of a set in the order (frequency, hash) of its n-grams, the first size - ceil(size * num /
+    den) + 1; linked sets share one of these."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                part = unpack(row["body"])
+                sets = [s for p in slices(part, "text") for s in shingle_sets(p, k)]
+                values = np.unique(np.concatenate(sets))
+                level = np.concatenate([np.frombuffer(a["levels"], np.uint8) for a in sorted(row["answers"], key=lambda a: a["bucket"])])
+                firsts = []
+                for items in sets:
+                    order = np.argsort(level[np.searchsorted(values, items)], kind="stable")
+                    firsts.append(mix64(items[order[: len(items) + (-len(items) * num) // den + 1]]))
+                yield from _packed(part.column("doc_id").to_pylist(), firsts, n_buckets)
 
     return run
 
@@ -241,12 +303,8 @@ def _meet(table: pa.Table) -> pa.Table:
         docs.append(np.frombuffer(blob[8 + 5 * n :], np.int64, n))
     sig, doc = np.concatenate(rest), np.concatenate(docs)
     order = np.argsort(sig, kind="stable")
-    sig, doc = sig[order], doc[order]
-    new = np.r_[True, sig[1:] != sig[:-1]]
-    lead = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-    pairs = np.unique(np.stack([doc[~new], lead[~new]]), axis=1) if not new.all() else np.zeros((2, 0), np.int64)
-    a, b = local_forest(*pairs)
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    _, a, b = _shared(sig[order], doc[order])
+    return pa.table({"blob": pa.array([to_blob(a, b)] if len(a) else [], pa.binary())})
 
 
 def _verify(k: int, num: int, den: int):
@@ -274,7 +332,8 @@ def _verify(k: int, num: int, den: int):
                     sets.append(items)
                     at += 1
         close(at)
-        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+        a, b = np.array(out, np.int64).reshape(-1, 2).T
+        return pa.table({"blob": pa.array([to_blob(a, b)] if out else [], pa.binary())})
 
     return run
 
@@ -288,56 +347,86 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, block:
        pair shares a whole segment. Copies seen before in the task send none; documents of a task that share a signature
        send it once.
     2. Signatures meet in hash buckets; sharing one makes candidates, and components of these make candidate groups.
-    3. The texts of candidate groups with several distinct sets move once, and a prefix tree per group finds the links.
-       Groups over `block` sets are cut into blocks that all hold the group's first HUBS sets; what is then outside the
-       group's largest component is compared, in blocks, with every block, so nothing is left out.
+    3. The texts of candidate groups with several distinct sets move once. Groups over `block` sets, which form around
+       lines and passages that many documents share, are made anew from prefixes of the sets with rare n-grams first.
+       A prefix tree per group finds the links. Groups still over `block` sets are cut into blocks that all hold HUBS of
+       the group's sets; what is then outside the group's largest component is compared, in blocks, with every block, so
+       nothing is left out.
     4. Components of all links, with equal sets taken together.
     Words are lower-cased (A-Z) and split at ASCII white space. A text with fewer than k words is one shingle; without
     words (null, empty) the set is empty and linked with nothing. A null doc_id gives a null component_id. doc_id is a key;
     rows that repeat one are each returned, and their texts count as linked. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    n_buckets = buckets(spark)
+    n_buckets = buckets(docs.sparkSession)
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scan = materialize(table.mapInArrow(_scan(k, num, den, n_buckets), "bucket int, doc_id long, n long, p1 long, p2 long, other long, blob binary"), "signatures")
+    scan = materialize(table.mapInArrow(_scan(k, num, den, n_buckets), _SCAN), "signatures")
     facts = scan.filter("bucket = -1").select("doc_id", "n", "p1", "p2")
     leads = facts.filter("n > 0 and doc_id is not null").groupBy("n", "p1", "p2").agg(F.min("doc_id").alias("lead"))
     known = materialize(facts.join(leads, ["n", "p1", "p2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("lead", "doc_id").alias("lead")), "facts")
-    met = scan.filter("bucket >= 0").select("bucket", "blob").groupBy("bucket").applyInArrow(_meet, "a long, b long")
-    same = known.filter("doc_id <> lead").select(F.col("doc_id").alias("a"), F.col("lead").alias("b"))
-    shared = scan.filter("bucket = -2").select(F.col("doc_id").alias("a"), F.col("other").alias("b"))
-    cands = components(met.union(shared).union(same))
-    own = known.filter("doc_id = lead").select("doc_id").distinct()
-    heads = cands.select(F.col("root").alias("node"), "root").distinct()
-    nodes = cands.union(heads).join(own.withColumnRenamed("doc_id", "node"), "node").select(F.col("node").alias("doc_id"), F.col("root").alias("cand"))
-    nodes = materialize(nodes, "candidates")
-    sizes = nodes.groupBy("cand").agg(F.count("*").alias("n")).filter("n > 1")
-    placed = nodes.join(sizes, "cand").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    large = placed.filter("blocks > 1")
-    members = placed.select("doc_id", "cand", "block").union(_hubs(large)).distinct().withColumn("query", F.lit(True))
-    verify = lambda rows: _texts(rows, table, n_buckets).applyInArrow(_verify(k, num, den), "a long, b long")
-    links = materialize(verify(members), "links")
-    if not large.isEmpty():
-        links = _settle(links, nodes, large, verify, block)
+    same = packed(known.filter("doc_id <> lead").select(F.col("doc_id").alias("a"), F.col("lead").alias("b")))
+    cands = _groups(components(_edges(scan).union(same)), known)
+    discard(scan)
+    texts = materialize(table.join(_sized(cands).hint("shuffle_hash"), "doc_id"), "texts")
+    wide = texts.filter(F.col("n") > block)
+    full = ["doc_id", "text", "cand", "block", "query"]
+
+    def verify(rows: DataFrame) -> DataFrame:
+        dealt = rows.withColumn("part", F.pmod(F.xxhash64("cand", "block"), F.lit(4 * n_buckets)))
+        return materialize(dealt.groupBy("part").applyInArrow(_verify(k, num, den), "blob binary"), "links")
+
+    rows = texts.filter(F.col("n") <= block).withColumn("block", F.lit(0).cast("long")).withColumn("query", F.lit(True)).select(*full)
+    large = None
+    if not wide.isEmpty():
+        members = _narrow(wide, k, num, den, n_buckets)
+        placed = members.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("long"))
+        large = placed.filter("blocks > 1")
+        again = placed.select("doc_id", "cand", "block").union(_hubs(large)).distinct().withColumn("query", F.lit(True))
+        rows = rows.union(wide.select("doc_id", "text").join(again, "doc_id").select(*full))
+    links = verify(rows)
+    if large is not None and not large.isEmpty():
+        links = _settle(links, large, lambda asked: verify(wide.select("doc_id", "text").join(asked, "doc_id").select(*full)), block)
     roots = components(links.union(same)).withColumnRenamed("node", "doc_id")
     return known.join(roots, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 
 
-def _hubs(large: DataFrame) -> DataFrame:
-    """HUBS documents of each large group, once for each of its blocks; they are the first by hash in block 0, so that
-    their number is bounded before they are ranked."""
-    first = large.filter("block = 0").withColumn("_r", F.row_number().over(W.partitionBy("cand").orderBy(F.xxhash64("doc_id")))).filter(F.col("_r") <= HUBS)
-    return first.select("doc_id", "cand", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+def _edges(scan: DataFrame) -> DataFrame:
+    """Packed edges from rows of packed signatures."""
+    met = scan.filter("bucket >= 0").select("bucket", "blob").groupBy("bucket").applyInArrow(_meet, "blob binary")
+    return met.union(scan.filter("bucket = -2").select("blob"))
+
+
+def _groups(roots: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, cand: the candidate group of each document that speaks for its equals."""
+    every = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    own = known.filter("doc_id = lead").select(F.col("doc_id").alias("node")).distinct()
+    return materialize(every.join(own, "node", "left_semi").select(F.col("node").alias("doc_id"), F.col("root").alias("cand")), "groups")
+
+
+def _sized(cands: DataFrame) -> DataFrame:
+    """doc_id, cand, n for groups of two and more."""
+    return cands.join(cands.groupBy("cand").agg(F.count("*").alias("n")).filter("n > 1"), "cand").select("doc_id", "cand", "n")
 
 
-def _texts(rows: DataFrame, table: DataFrame, n_buckets: int):
-    """Rows with their texts, grouped by a hash of (cand, block)."""
-    full = table.join(rows.hint("shuffle_hash"), "doc_id")
-    return full.withColumn("part", F.pmod(F.xxhash64("cand", "block"), F.lit(4 * n_buckets))).groupBy("part")
+def _narrow(wide: DataFrame, k: int, num: int, den: int, n_buckets: int) -> DataFrame:
+    """Groups again, for documents whose groups are large because they share lines or passages that many have: candidates
+    must now share a prefix in the order of rising document frequency, so that common n-grams come last."""
+    held = materialize(wide.select("doc_id", "text").mapInArrow(_pack_chunks, "chunk long, body binary"), "wide")
+    asks = held.mapInArrow(_count_asks(k, n_buckets), "bucket int, chunk long, n int, blob binary")
+    answers = asks.groupBy("bucket").applyInArrow(_count_replies, "chunk long, bucket int, levels binary").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "levels")).alias("answers"))
+    scan = materialize(held.join(answers, "chunk").select("body", "answers").mapInArrow(_prefixes(k, num, den, n_buckets), _SCAN), "prefixes")
+    roots = components(_edges(scan))
+    every = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    return _sized(every.select(F.col("node").alias("doc_id"), F.col("root").alias("cand")))
+
+
+def _hubs(large: DataFrame) -> DataFrame:
+    """HUBS documents of each large group, once for each of its blocks; they are the first by hash in block 0, whose size
+    is bounded, so that no window holds a whole group."""
+    first = large.filter("block = 0").withColumn("_r", F.row_number().over(W.partitionBy("cand").orderBy(F.xxhash64("doc_id")))).filter(F.col("_r") <= HUBS)
+    return first.select("doc_id", "cand", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block"))
 
 
-def _settle(links: DataFrame, nodes: DataFrame, large: DataFrame, verify, block: int) -> DataFrame:
+def _settle(links: DataFrame, large: DataFrame, verify, block: int) -> DataFrame:
     """Adds the links between documents outside the largest component of their large group and all of the group."""
     roots = components(links).withColumnRenamed("node", "doc_id")
     state = large.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
@@ -346,13 +435,12 @@ def _settle(links: DataFrame, nodes: DataFrame, large: DataFrame, verify, block:
     apart = materialize(state.join(main, "cand").filter("root <> main").select("doc_id", "cand", "blocks"), "apart")
     if apart.isEmpty():
         return links
-    chunks = apart.groupBy("cand").agg(F.ceil(F.count("*") / block).cast("int").alias("chunks"))
-    asked = apart.join(chunks, "cand").withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(7)), "chunks").cast("int"))
-    at = lambda b, c: F.col(b) * F.lit(1 << 20) + F.col(c) + F.lit(1 << 30)
-    queries = asked.withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("doc_id", "cand", at("b", "chunk").cast("long").alias("block"), F.lit(True).alias("query"))
-    targets = large.join(chunks, "cand").withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("doc_id", "cand", at("block", "c").cast("long").alias("block"), F.lit(False).alias("query"))
-    rows = queries.union(targets).groupBy("doc_id", "cand", "block").agg(F.max("query").alias("query"))
-    return links.union(materialize(verify(rows), "links"))
+    sizes = apart.groupBy("cand").agg(F.ceil(F.count("*") / block).cast("int").alias("chunks"))
+    asked = apart.join(sizes, "cand").withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(7)), "chunks"))
+    at = lambda b, c: (F.col(b).cast("long") * (1 << 31) + F.col(c).cast("long")).alias("block")
+    queries = asked.withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("doc_id", "cand", at("b", "chunk"), F.lit(True).alias("query"))
+    targets = large.join(sizes, "cand").withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("doc_id", "cand", at("block", "c"), F.lit(False).alias("query"))
+    return links.union(verify(queries.union(targets).groupBy("doc_id", "cand", "block").agg(F.max("query").alias("query"))))
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
