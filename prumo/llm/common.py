@@ -49,6 +49,14 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have: name, with underscores before it if need be."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def buckets(spark: SparkSession, factor: int = 1) -> int:
     """Number of hash buckets for packed shuffles; follows the session's shuffle partitions, which follow the data."""
     return max(8, factor * int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prumo.llm.common import U64, hash_words, materialize, slices, trim, windows
+from prumo.llm.common import U64, fresh, hash_words, materialize, slices, trim, windows
 
 #: Template tokens of a window; a shorter item is one window, if it has SHORTEST tokens.
 WINDOW = 13
@@ -191,8 +191,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, pass_
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs that hold no window of an item."""
-    found = matches(docs, items).filter("consistent").select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("_found"), "left_anti")
+    own = fresh(docs, "_found")
+    found = matches(docs, items).filter("consistent").select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(found, F.col("doc_id") == F.col(own), "left_anti")
 
 
 def digest(docs: DataFrame, items: DataFrame) -> DataFrame:

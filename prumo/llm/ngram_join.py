@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from prumo.llm.common import U64, ask, buckets, chunks, discard, hash_words, materialize, mix64, pack, slices, unpack, windows
+from prumo.llm.common import U64, ask, buckets, chunks, discard, fresh, hash_words, materialize, mix64, pack, slices, unpack, windows
 from prumo.llm.graph import components, local_forest, packed, to_blob
 
 #: Widths of the size classes that share a number of segments.
@@ -446,7 +446,8 @@ def _settle(links: DataFrame, large: DataFrame, verify, block: int) -> DataFrame
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The rows of docs that come first (smallest doc_id) in their component; rows with a null doc_id stay."""
     stays = jaccard_join(docs, k, num, den).filter("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(stays.withColumnRenamed("doc_id", "_stays"), F.col("doc_id") == F.col("_stays"), "left_semi")
+    own = fresh(docs, "_stays")
+    first = docs.join(stays.withColumnRenamed("doc_id", own), F.col("doc_id") == F.col(own), "left_semi")
     return first.union(docs.filter("doc_id is null"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prumo.llm.common import U64, hash_words, slices, text_buffer
+from prumo.llm.common import U64, fresh, hash_words, slices, text_buffer
 
 #: Hash buckets for words.
 WORD_BUCKETS = 1 << 15
@@ -177,8 +177,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
     return fit(row, lists.flatten().to_numpy(), got.column("value").combine_chunks().flatten().to_numpy(), got.column("label").to_numpy().astype(float))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with a column _score: the probability that the label is 1. Every whole text is scored; null counts as empty."""
+def score(docs: DataFrame, model: Model, name: str = "_score") -> DataFrame:
+    """docs with one more column: the probability that the label is 1. Every whole text is scored; null counts as empty."""
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.linear, model.factors))
     chars = "n_chars" in docs.columns
 
@@ -187,9 +187,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text"):
                 raw, _ = _scores(own, *features(batch.column("text"), batch.column("n_chars") if chars else None), batch.num_rows)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(raw, -500, 500))))], [*batch.schema.names, "_score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(raw, -500, 500))))], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -204,7 +204,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of docs that score `least` or more."""
-    return score(docs, train(docs, labels)).filter(F.col("_score") >= least).drop("_score")
+    own = fresh(docs, "_score")
+    return score(docs, train(docs, labels), own).filter(F.col(own) >= least).drop(own)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
