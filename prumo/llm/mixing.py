@@ -56,7 +56,7 @@ def targets(sized: DataFrame, weights=(5, 2, 1), cap: int = 3) -> DataFrame:
     return src.select("source", "source_size", F.coalesce(F.least(F.col("_cap").cast("double"), F.col("_w") * level), F.col("_cap").cast("double")).alias("target"))
 
 
-def plan(sized: DataFrame, weights=(5, 2, 1), cap: int = 3, seed: int = 0, salts: int = SALTS) -> DataFrame:
+def plan(sized: DataFrame, weights=(5, 2, 1), cap: int = 3, seed: int = 0, salts: int = SALTS, ties: tuple[str, ...] = ()) -> DataFrame:
     """Rows of `sized` (doc_id, source, size and any others) with source_size, target, copies and taken.
 
     Systematic sampling: within a source, documents stand from long to short (by size class, then salt, then hash),
@@ -66,7 +66,8 @@ def plan(sized: DataFrame, weights=(5, 2, 1), cap: int = 3, seed: int = 0, salts
     a small table per (source, class, salt), and only rows inside such a group are ranked together, so a source with a
     third of all rows is spread over many tasks.
     Nulls: a null source is a source of its own; a null doc_id or text (size 0) is a row like others. Repeated rows are
-    sampled one by one. An empty table gives an empty result. Reruns agree, as all choices are hashes.
+    sampled one by one. An empty table gives an empty result. Reruns agree, as all choices are hashes; rows with equal (or
+    null) doc_id and equal size stand in the order of the columns `ties`.
     """
     rows = (
         sized.withColumn("_null", F.col("source").isNull())
@@ -87,7 +88,7 @@ def plan(sized: DataFrame, weights=(5, 2, 1), cap: int = 3, seed: int = 0, salts
         (_uniform(F.concat(F.lit(f"{seed}/"), F.coalesce("source", F.lit("null")))) / float(1 << 32)).alias("_offset"),
     )
     groups = counts.withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0))).join(per_source, ["_null", "_key"]).drop("_n")
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy("_hash", "doc_id"))
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy("_hash", "doc_id", "size", *ties))
     passed = lambda k: F.floor(F.col("_rate") * k + F.col("_offset"))
     return (
         rows.join(groups, keys)
@@ -101,8 +102,9 @@ def plan(sized: DataFrame, weights=(5, 2, 1), cap: int = 3, seed: int = 0, salts
 def mix(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, seed: int = 0) -> DataFrame:
     """The mixed corpus: rows of `docs`, each as many times as the plan says, with the columns of `docs`."""
     out = docs.columns
-    kept = docs.select(F.struct(*(F.col(f"`{c}`") for c in out)).alias("_row"), "doc_id", "source", words(F.col("text")).alias("size"))
-    planned = plan(kept, weights, cap, seed)
+    tie = F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind))
+    kept = docs.select(F.struct(*(F.col(f"`{c}`") for c in out)).alias("_row"), "doc_id", "source", words(F.col("text")).alias("size"), tie.alias("_tie"))
+    planned = plan(kept, weights, cap, seed, ties=("_tie",))
     repeated = planned.filter("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
     return repeated.select(*(F.col(f"_row.`{c}`").alias(c) for c in out))
 
