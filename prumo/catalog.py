@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from prumo.plans import records, state, texts
+from prumo.plans import ingest, records, state, texts
 
-QUERIES: dict = {**records.QUERIES, **texts.QUERIES, **state.QUERIES}
-ORACLE_SQL: dict = {**records.ORACLE_SQL, **texts.ORACLE_SQL, **state.ORACLE_SQL}
+QUERIES: dict = {**records.QUERIES, **texts.QUERIES, **state.QUERIES, **ingest.QUERIES}
+ORACLE_SQL: dict = {**records.ORACLE_SQL, **texts.ORACLE_SQL, **state.ORACLE_SQL, **ingest.ORACLE_SQL}

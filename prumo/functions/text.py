@@ -66,3 +66,24 @@ def upper_share(text: Column) -> Column:
 def host(url: Column) -> Column:
     """Host in lower case without www."""
     return F.regexp_replace(F.lower(F.parse_url(url, F.lit("HOST"))), r"^www\.", "")
+
+
+def slug_variants(text: Column) -> Column:
+    """Slugs of a place name with and without hyphens, with and without prepositions; equal ones once, in that order."""
+    whole = slug(text)
+    short = F.regexp_replace(whole, r"-(?:da|das|de|do|dos|e)(?=-)", "")
+    return F.array_distinct(F.array(whole, F.replace(whole, F.lit("-")), short, F.replace(short, F.lit("-"))))
+
+
+def strip_prefix(text: Column, prefixes: list[str]) -> Column:
+    """Text without the first of the prefixes that it starts with in any case, trimmed."""
+    out = text
+    for p in reversed(prefixes):
+        out = F.when(F.upper(text).startswith(p.upper()), F.substring(text, len(p) + 1, 1 << 30)).otherwise(out)
+    return F.trim(out)
+
+
+def safe_url(url: Column) -> Column:
+    """Whether a page of the public web: http or https, no user part, a dotted host name that isn't local or a bare address."""
+    ok = url.rlike(r"^https?://[A-Za-z0-9.-]+\.[A-Za-z]{2,}(?::[0-9]+)?(?:[/?#]|$)") & ~url.rlike(r"(?i)^https?://(?:[^/]*\.)?(?:localhost|local|internal)(?:[:/?#]|$)")
+    return F.coalesce(ok, F.lit(False))

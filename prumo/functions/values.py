@@ -72,3 +72,36 @@ def badge(end: Column, today: Column) -> Column:
 
 def json_int(column: Column, path: str) -> Column:
     return F.get_json_object(column, path).try_cast("int")
+
+
+def strict_brl(text: Column) -> Column:
+    """First amount after R$ that has cents; null without one."""
+    found = F.regexp_extract(text, r"R\$\s*(\d{1,3}(?:\.\d{3})*,\d{2})", 1)
+    return F.when(found != "", F.translate(F.regexp_replace(found, r"\.", ""), ",", ".").try_cast("decimal(12,2)"))
+
+
+def paid_by_shift(text: Column) -> Column:
+    """The text itself if it pays by hour or shift, so that it isn't read as a monthly amount; else null."""
+    return F.when(F.lower(text).rlike("hora|plant"), text)
+
+
+def reserve_list(text: Column) -> Column:
+    """Whether a count of openings names a reserve list (CR)."""
+    return F.coalesce(F.upper(text).rlike(r"(^|[^A-Z])CR([^A-Z]|$)|CADASTRO"), F.lit(False))
+
+
+def date_mixed(text: Column) -> Column:
+    """A date in ISO or Brazilian form at the start of the text; null for impossible ones."""
+    return F.coalesce(date_iso(text), date_br(F.substring(text, 1, 10)))
+
+
+#: Number words from one to ten in Portuguese.
+NUMBER_WORDS = ("um", "dois", "três", "quatro", "cinco", "seis", "sete", "oito", "nove", "dez")
+
+
+def deadline_days(text: Column) -> Column:
+    """Days of 'prazo de 5 (cinco) dias' or 'prazo de cinco dias'; null otherwise."""
+    rx = r"(?iu)prazo de (\d+|[a-zê]+)(?: \([^)]*\))? dias"
+    found = F.lower(F.regexp_extract(text, rx, 1))
+    word = F.array_position(F.array(*map(F.lit, NUMBER_WORDS)), found).cast("int")
+    return F.coalesce(found.try_cast("int"), F.when(word > 0, word))
