@@ -7,6 +7,7 @@ import uuid
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ SHARD = 4 << 20
 END = 2
 
 _ALNUM = np.array([chr(c).isalnum() and c < 128 for c in range(256)])
+_SUSPECT = np.array([c in (0xC2, 0xE1, 0xE2, 0xE3, 0x3C) for c in range(256)])  # first bytes of Unicode white space and "<|"
 _PUNCTUATION = np.array([33 <= c < 127 and not chr(c).isalnum() for c in range(256)])
 
 
@@ -87,7 +89,7 @@ class Encoder:
         n = len(buf)
         odd = np.zeros(len(col), bool)
         if n:
-            at = np.flatnonzero(np.isin(buf[:-1], (0xC2, 0xE1, 0xE2, 0xE3, 0x3C)))
+            at = np.flatnonzero(_SUSPECT[buf[:-1]])
             a, b, c = buf[at], buf[at + 1], buf[np.minimum(at + 2, n - 1)]
             hit = (a == 0x3C) & (b == 0x7C) | (a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) | (a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c >= 0xA8)) | (a == 0xE2) & (b == 0x81) | (a == 0xE3) & (b == 0x80) & (c == 0x80)
             odd[np.searchsorted(bounds, at[hit], "right") - 1] = True
@@ -108,7 +110,9 @@ class Encoder:
         sums = np.zeros(n + 1, U64)
         np.cumsum(_TABLE[buf] * power[:n], out=sums[1:])
         hashes = mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
-        keys, index, which = np.unique(hashes, return_index=True, return_inverse=True)
+        which, keys = pd.factorize(hashes)  # a hash table, where np.unique sorts
+        index = np.zeros(len(keys), np.int64)
+        index[which] = np.arange(len(which))  # any occurrence
         if len(self.known) > self.MOST:
             self.clear()
         names = keys.tolist()
