@@ -15,8 +15,10 @@ from prumo.llm.common import U64, fresh, hash_words, materialize, slices, trim,
 #: Template tokens of a window; a shorter item is one window, if it has SHORTEST tokens.
 WINDOW = 13
 SHORTEST = 5
-#: Windows with a smaller part of plain words say too little.
+#: Template windows with a smaller part of plain words say too little about re-parameterised copies; such passages are
+#: sought word for word instead, and so are whole items of SHORTEST words or, if they have a slot, SHORTEST_RAW words.
 LEAST_PLAIN = 0.6
+SHORTEST_RAW = 3
 #: Benchmark windows that are compared in one pass over the documents; more take several passes.
 PASS_WINDOWS = 1 << 20
 
@@ -34,7 +36,8 @@ NUM, UNIT, NAME = (U64(x) for x in (0x6E756D6265720001, 0x756E697400000001, 0x6E
 
 
 class Template(NamedTuple):
-    """Tokens of several texts: text d has offsets[d]:offsets[d + 1]. Token t is buf[starts[t]:ends[t]]; slot: not a plain word."""
+    """Tokens of several texts: text d has offsets[d]:offsets[d + 1]. Token t is buf[starts[t]:ends[t]]; slot: not a plain word.
+    Text d has the words word_offsets[d]:word_offsets[d + 1]; word w has the hash words[w] and lies in token home[w]."""
 
     codes: np.ndarray
     slot: np.ndarray
@@ -42,6 +45,9 @@ class Template(NamedTuple):
     starts: np.ndarray
     ends: np.ndarray
     buf: np.ndarray
+    words: np.ndarray
+    word_offsets: np.ndarray
+    home: np.ndarray
 
 
 _UNIT_HASHES: list[np.ndarray] = []
@@ -59,7 +65,7 @@ def template(col: pa.Array) -> Template:
     n = len(buf)
     doc = np.repeat(np.arange(len(words.offsets) - 1), np.diff(words.offsets))
     if not len(starts):
-        return Template(words.hashes, np.zeros(0, bool), words.offsets, starts, ends, buf)
+        return Template(words.hashes, np.zeros(0, bool), words.offsets, starts, ends, buf, words.hashes, words.offsets, starts)
     opens = np.ones(len(starts), bool)  # the word opens a text, a line or a sentence
     breaks = np.r_[0, np.cumsum(buf == 0x0A)]
     opens[1:] = (doc[1:] != doc[:-1]) | _STOP[buf[words.ends[:-1] - 1]] | (breaks[starts[1:]] > breaks[words.ends[:-1]])
@@ -75,13 +81,15 @@ def template(col: pa.Array) -> Template:
     name = ~opens & ~number & capital(starts) & (second < ends) & ~capital(second)
     unit = np.zeros(len(codes), bool)
     unit[1:] = number[:-1] & (doc[1:] == doc[:-1]) & np.isin(codes[1:], _UNIT_HASHES[0])
+    plain = codes
     codes = np.where(number, NUM, np.where(unit, UNIT, np.where(name, NAME, codes)))
     slot = number | unit | name
     again = np.zeros(len(codes), bool)
     again[1:] = slot[1:] & (codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1])
     stay = np.flatnonzero(~again)
     last = np.r_[stay[1:], len(codes)] - 1 if len(stay) else stay
-    return Template(codes[stay], slot[stay], np.searchsorted(doc[stay], np.arange(len(words.offsets))), starts[stay], ends[last], buf)
+    places = np.arange(len(words.offsets))
+    return Template(codes[stay], slot[stay], np.searchsorted(doc[stay], places), starts[stay], ends[last], buf, plain, np.searchsorted(doc, places), np.cumsum(~again) - 1)
 
 
 def _window_rows(t: Template, length: int):
@@ -94,10 +102,23 @@ def _window_rows(t: Template, length: int):
     return at[fine], hashes[fine]
 
 
+def _raw_rows(t: Template, length: int):
+    """(position, hash) of all windows of words as they are, A-Z as a-z; positions count in all words."""
+    hashes = windows(t.words, length) ^ U64(length)
+    end = np.repeat(t.word_offsets[1:], np.diff(t.word_offsets))[: len(hashes)]
+    fine = np.flatnonzero(np.arange(len(hashes)) + length <= end)
+    return fine, hashes[fine]
+
+
+def _value(t: Template, raw: bytes, i: int) -> str:
+    return b" ".join(raw[t.starts[i] : t.ends[i]].split()).decode()
+
+
 def _slots(t: Template, raw: bytes, at: int, length: int) -> list[str]:
-    return [b" ".join(raw[t.starts[i] : t.ends[i]].split()).decode() for i in range(at, at + length) if t.slot[i]]
+    return [_value(t, raw, i) for i in range(at, at + length) if t.slot[i]]
 
 
+#: length: of a template window, or less than 0 for one of words as they are.
 _HIT = "id long, pos long, length int, hash long, slots array<string>"
 
 
@@ -105,16 +126,31 @@ def _batch(ids, pos, length, hashes, slots) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(pos, pa.int64()), pa.array(length, pa.int32()), pa.array(hashes, pa.int64()), pa.array(slots, pa.list_(pa.string()))], ["id", "pos", "length", "hash", "slots"])
 
 
+def _windows(t: Template, length: int):
+    """(position, hash) of a length's windows: of words as they are if it is less than 0."""
+    return _raw_rows(t, -length) if length < 0 else _window_rows(t, length)
+
+
 def _item_windows(window: int):
     def run(batches):
         for whole in batches:
             for batch in slices(whole, "text"):
                 t = template(batch.column("text"))
-                raw, out = t.buf.tobytes(), []
-                hashes = {n: dict(zip(*_window_rows(t, n), strict=True)) for n in {min(window, int(n)) for n in np.diff(t.offsets)} if n >= SHORTEST}
-                for item, a, b in zip(batch.column("id").to_pylist(), t.offsets[:-1].tolist(), t.offsets[1:].tolist(), strict=True):
-                    n = min(window, b - a)
-                    out += [(item, i - a, n, int(hashes[n][i].astype(np.int64)), _slots(t, raw, i, n)) for i in range(a, b - n + 1) if i in hashes.get(n, ())]
+                raw, ids, out = t.buf.tobytes(), batch.column("id").to_pylist(), []
+                n_tokens, n_words = np.diff(t.offsets), np.diff(t.word_offsets)
+                valued = np.diff(np.r_[0, np.cumsum(t.slot)][t.offsets]) > 0
+                served = np.zeros(len(t.codes), bool)  # a template window begins here
+                for n in {min(window, int(n)) for n in n_tokens if n >= SHORTEST}:
+                    at, hashes = _windows(t, n)
+                    doc = np.searchsorted(t.offsets, at, "right") - 1
+                    mine = np.minimum(n_tokens[doc], window) == n
+                    served[at[mine]] = True
+                    out += [(ids[d], i - int(t.offsets[d]), n, h, _slots(t, raw, i, n)) for i, h, d in zip(at[mine].tolist(), hashes[mine].astype(np.int64).tolist(), doc[mine].tolist(), strict=True)]
+                for n in {min(window, int(n)) for n in n_words if n >= SHORTEST_RAW}:
+                    at, hashes = _windows(t, -n)
+                    doc = np.searchsorted(t.word_offsets, at, "right") - 1
+                    mine = (np.minimum(n_words[doc], window) == n) & ((n_words[doc] >= SHORTEST) | valued[doc]) & ((n_words[doc] <= window) | ~served[t.home[at]])
+                    out += [(ids[d], i - int(t.word_offsets[d]), -n, h, []) for i, h, d in zip(at[mine].tolist(), hashes[mine].astype(np.int64).tolist(), doc[mine].tolist(), strict=True)]
                 yield _batch(*(zip(*out, strict=True) if out else [[]] * 5))
 
     return run
@@ -128,23 +164,26 @@ def _find(wanted):
                 t = template(batch.column("text"))
                 raw, ids, out = t.buf.tobytes(), batch.column("id").to_pylist(), []
                 for n, known in sought.items():
-                    pos, hashes = _window_rows(t, n)
+                    pos, hashes = _windows(t, n)
                     at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
                     hit = known[at] == hashes
-                    doc = np.searchsorted(t.offsets, pos[hit], "right") - 1
-                    out += [(ids[d], p - int(t.offsets[d]), n, h, _slots(t, raw, p, n)) for d, p, h in zip(doc.tolist(), pos[hit].tolist(), hashes[hit].astype(np.int64).tolist(), strict=True)]
+                    offsets = t.word_offsets if n < 0 else t.offsets
+                    doc = np.searchsorted(offsets, pos[hit], "right") - 1
+                    out += [(ids[d], p - int(offsets[d]), n, h, [] if n < 0 else _slots(t, raw, p, n)) for d, p, h in zip(doc.tolist(), pos[hit].tolist(), hashes[hit].astype(np.int64).tolist(), strict=True)]
                 yield _batch(*(zip(*out, strict=True) if out else [[]] * 5))
 
     return run
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, pass_windows: int = PASS_WINDOWS) -> DataFrame:
-    """doc_id, item_id, n_windows, consistent, verbatim: aligned runs of equal template windows of a document and an item.
+    """doc_id, item_id, windows, n_windows, consistent, verbatim: aligned runs of equal windows of a document and an item.
 
+    Template windows find copies with other values. Where an item's passage has too many slots for one, and for every item
+    of a window or less, windows of words as they are find verbatim copies whatever stands around them.
     Windows of the benchmark are held against all documents in passes of at most about pass_windows hashes, so what is
     broadcast is bounded however long the benchmark is; hits then meet benchmark windows in a join on the hash. A run is
-    all windows of a document and an item with the same distance between their places. Its slots are consistent when
-    item values and document values map one to one; verbatim when they are equal, too.
+    all windows of one kind of a document and an item with the same distance between their places. Its slots are consistent when item
+    values and document values map one to one; verbatim when they are equal, too.
     """
     spark = docs.sparkSession
     known = items.select(F.col("item_id").cast("long").alias("id"), "text").filter("id is not null").mapInArrow(_item_windows(window), _HIT)
@@ -160,8 +199,9 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, pass_window
     left = hits.select(F.col("id").alias("doc_id"), F.col("pos").alias("at"), "length", "hash", F.col("slots").alias("own"))
     right = known.select(F.col("id").alias("item_id"), "pos", "length", "hash", "slots")
     met = left.join(right, ["length", "hash"]).filter(F.size("own") == F.size("slots")).withColumn("shift", F.col("at") - F.col("pos"))
+    met = met.withColumn("windows", (F.col("length") > 0).cast("int"))
     pair = F.explode_outer(F.arrays_zip("slots", "own"))
-    run = ["doc_id", "item_id", "shift"]
+    run = ["doc_id", "item_id", "shift", "windows"]
     values = met.select(*run, "pos", pair.alias("p")).select(*run, "pos", F.col("p.slots").alias("a"), F.col("p.own").alias("b"))
     pairs = values.groupBy(*run, "a", "b").agg(F.collect_set("pos").alias("places"))
     runs = pairs.groupBy(*run).agg(
@@ -171,19 +211,22 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, pass_window
         F.count_distinct("b").alias("n_b"),
         F.bool_and(F.col("a").eqNullSafe(F.col("b"))).alias("verbatim"),
     )
-    return runs.select("doc_id", "item_id", "n_windows", ((F.col("n") == F.col("n_a")) & (F.col("n") == F.col("n_b"))).alias("consistent"), "verbatim")
+    return runs.select("doc_id", "item_id", "windows", "n_windows", ((F.col("n") == F.col("n_a")) & (F.col("n") == F.col("n_b"))).alias("consistent"), "verbatim")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, pass_windows: int = PASS_WINDOWS) -> DataFrame:
     """doc_id, contaminated, kind, n_items, n_windows for every row of docs (doc_id, text and any others).
 
-    A document is contaminated if it holds a template window of an item (item_id, text) with consistent slots. kind:
+    A document is contaminated if it holds a template window of an item (item_id, text) with consistent slots, or word for
+    word a whole item of at most `window` words or a window of words that has too many slots for a template. kind:
     'verbatim' if some run keeps all values, else 'reparameterised'; null for clean documents. n_items: items found;
-    n_windows: windows in runs. Null or empty texts and rows with a null doc_id are clean; items with a null id or fewer
-    than SHORTEST template tokens are left out; equal items each count. Rows that repeat a doc_id share what is found in
-    any of them. An empty table gives no rows, an empty benchmark leaves all clean.
+    n_windows: windows in runs, by item those of the kind that has most. Null or empty texts and rows with a null doc_id are
+    clean; items with a null id, plain ones of fewer than SHORTEST words and any of fewer than SHORTEST_RAW are left out; equal items each count. Rows that repeat a
+    doc_id share what is found in any of them. An empty table gives no rows, an empty benchmark leaves all clean.
     """
-    found = matches(docs, items, window, pass_windows).filter("consistent").groupBy("doc_id").agg(F.count_distinct("item_id").alias("n_items"), F.sum("n_windows").cast("long").alias("n_windows"), F.bool_or("verbatim").alias("_v"))
+    found = matches(docs, items, window, pass_windows).filter("consistent").groupBy("doc_id", "item_id", "windows").agg(F.sum("n_windows").alias("n"), F.bool_or("verbatim").alias("v"))
+    found = found.groupBy("doc_id", "item_id").agg(F.max("n").alias("n"), F.bool_or("v").alias("v"))
+    found = found.groupBy("doc_id").agg(F.count("item_id").alias("n_items"), F.sum("n").cast("long").alias("n_windows"), F.bool_or("v").alias("_v"))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(found, "doc_id", "left")
     kind = F.when(F.col("_v"), "verbatim").when(~F.col("_v"), "reparameterised")
     return out.select("doc_id", F.col("n_items").isNotNull().alias("contaminated"), kind.alias("kind"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("n_windows", F.lit(0)).alias("n_windows"))

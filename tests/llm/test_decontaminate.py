@@ -96,3 +96,19 @@ def test_equals_brute_force(spark, seed):
     want = {d for d, text in docs if any(cut(tokens(text), n) & w for n, w in wanted.items())}
     got = {r.doc_id for r in D.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).filter("contaminated").collect()}
     assert got == want and want
+
+
+def found(spark, items, docs):
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    return {r.doc_id: r.kind for r in D.decontaminate(frame, spark.createDataFrame(items, "item_id long, text string")).filter("contaminated").collect()}
+
+
+def test_slot_heavy_and_short_items_word_for_word(spark):
+    """Items with too many slots for a template window, or too few tokens for one."""
+    table = " ".join(f"Row{k} {k * 37} Bob Lee {k * 11} km" for k in range(9))
+    items = [(0, "Compute 37 times 48 minus 12 divided by 6"), (1, table), (2, "Compute 91 + 8"), (3, "12 13 14 15 16 17"), (4, "no luck")]
+    docs = [
+        (0, "Q: compute 37 times 48 minus 12, divided by 6."), (1, "Compute 37 times 48 minus 12 divided by 7"), (2, f"see 4 {' '.join(table.split()[9:31])} 5 end"),
+        (3, table.replace("Bob", "Al").replace("37", "38")), (4, "please compute 91 + 8 now"), (5, "compute 92 + 8"), (6, "a 11 12 13 14 15 16 17 18"), (7, "no luck"),
+    ]
+    assert found(spark, items, docs) == {0: "verbatim", 2: "verbatim", 4: "verbatim", 6: "verbatim"}
