@@ -112,3 +112,17 @@ def test_slot_heavy_and_short_items_word_for_word(spark):
         (3, table.replace("Bob", "Al").replace("37", "38")), (4, "please compute 91 + 8 now"), (5, "compute 92 + 8"), (6, "a 11 12 13 14 15 16 17 18"), (7, "no luck"),
     ]
     assert found(spark, items, docs) == {0: "verbatim", 2: "verbatim", 4: "verbatim", 6: "verbatim"}
+
+
+def test_words_around_a_copy_do_not_matter(spark):
+    """Capitalised openings in mid-sentence, slots beside the copy's edges, and line breaks at other places."""
+    long = "Farmer Joan sold 12 green apples to the old man from the hills and then Joan went home by the river"
+    names = "on a cold day in the spring the boy called Mark went with the girl called Anna over the hill to see the sea"
+    items = [(0, "What is the capital of the old kingdom"), (1, long), (2, names), (3, "In the old mill lay a sack of 7 coins"), (4, "Joan Smith paid the miller for a sack of 9 coins")]
+    docs = [
+        (0, "he asked, What is the capital of the old kingdom"), (1, f"then Farmer {long[7:]}"), (2, f"we heard that {long.replace('Joan', 'Anna')}"),
+        (3, names.replace("called Mark", "called\nMark").replace("called Anna", "called\nAnna")), (4, "Question 5 In the old mill lay a sack of 8 coins"),
+        (5, "they say Anna Brown paid the miller for a sack of 4 coins"), (6, "he asked, What is the capital of the new kingdom"), (7, "then Farmer " + long[7:].replace("then Joan", "then Anna")),
+        (8, "Anna Smith paid the miller for a sack of 9 coins"),
+    ]
+    assert found(spark, items, docs) == {0: "verbatim", 1: "verbatim", 2: "reparameterised", 3: "verbatim", 4: "reparameterised", 5: "reparameterised", 8: "reparameterised"}
