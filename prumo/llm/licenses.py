@@ -37,6 +37,66 @@ PATTERNS = (
     "You may use this file under the {}.", "See the {} for details.", "Available under the {} terms.", "License: {}",
     "This program is free software: you can redistribute it under the terms of the {}.", "Copyright (c) the authors. {}.",
 )
+_GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the {0} as published by the Free "
+    "Software Foundation, either version {1} of the License, or (at your option) any later version.",
+    "You should have received a copy of the {0} along with this program. If not, see <https://www.gnu.org/licenses/>.",
+    "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty "
+    "of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {0} for more details.",
+)
+#: Paragraphs of licence texts, and of the headers that licences ask for.
+BODIES = {
+    "AGPL-3.0": tuple(t.format("GNU Affero General Public License", 3) for t in _GNU),
+    "Apache-2.0": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the '
+        "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+        '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific '
+        "language governing permissions and limitations under the License.",
+    ),
+    "BSD": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    ),
+    "EPL": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",),
+    "GPL-2.0": (_GNU[0].format("GNU General Public License", 2),),
+    "GPL-3.0": (_GNU[0].format("GNU General Public License", 3),),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.",
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL '
+        "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+    ),
+    "LGPL": tuple(t.format("GNU Lesser General Public License", 3) for t in _GNU) + (_GNU[0].format("GNU Lesser General Public License", 2.1),),
+    "MIT": (
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation '
+        'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, '
+        "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+        "Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as "
+        "a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+}
+#: Neighbouring lines that are also read as one paragraph, besides whole blocks between blank lines.
+JOINED = (3, 2)
+#: Word pairs of a notice that may be spread over a whole block.
+LEAST_BLOCK = 10
 #: Sentences with the same words that name no family.
 OTHERS = (
     "Please renew your driving licence before version 3 of the form.", "The license plate of the car was never found.",
@@ -61,6 +121,7 @@ class Paragraphs(NamedTuple):
     offsets: np.ndarray
     doc: np.ndarray
     lines: np.ndarray  # paragraphs with a word, by text
+    apart: np.ndarray  # the paragraph is the first of its text or comes after a blank line
 
 
 def paragraphs(col: pa.Array) -> Paragraphs:
@@ -68,14 +129,18 @@ def paragraphs(col: pa.Array) -> Paragraphs:
     n_docs = len(words.offsets) - 1
     doc = np.repeat(np.arange(n_docs), np.diff(words.offsets))
     if not len(doc):
-        return Paragraphs(words.hashes, np.zeros(1, np.int64), doc, np.zeros(n_docs, np.int64))
+        return Paragraphs(words.hashes, np.zeros(1, np.int64), doc, np.zeros(n_docs, np.int64), np.zeros(0, bool))
     breaks = np.r_[0, np.cumsum(words.buf == 0x0A)]
     full, starts, _, codes = trim(words)
     doc = doc[full]
     new = np.ones(len(codes), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (breaks[starts[1:]] != breaks[starts[:-1]])
     first = np.flatnonzero(new)
-    return Paragraphs(codes, np.r_[first, len(codes)], doc[first], np.bincount(doc[first], minlength=n_docs))
+    line = breaks[words.starts]  # of every word, those of punctuation only too: a line of them is not blank
+    gap = np.r_[True, np.diff(line) > 1]
+    gaps = np.cumsum(gap)[full][first]
+    apart = np.r_[True, (gaps[1:] != gaps[:-1]) | (doc[first][1:] != doc[first][:-1])][: len(first)]
+    return Paragraphs(codes, np.r_[first, len(codes)], doc[first], np.bincount(doc[first], minlength=n_docs), apart)
 
 
 def grams(p: Paragraphs) -> tuple[np.ndarray, np.ndarray]:
@@ -110,6 +175,14 @@ def notices(rng: np.random.Generator) -> tuple[list[str], list[int]]:
                 add(whole, y)
                 beside = " ".join(rng.choice(fill, rng.integers(1, 12)))
                 add(f"{beside} {whole}" if rng.random() < 0.5 else f"{whole} {beside}", y)
+    for y, family in enumerate(FAMILIES, 1):
+        for body in BODIES.get(family, ()):
+            words = body.split()
+            add(body, y)
+            for _ in range(6):
+                beside = rng.choice(fill, rng.integers(0, 12)).tolist()
+                kept = [w for w in words if rng.random() > 0.08]
+                add(" ".join(beside + kept if rng.random() < 0.5 else kept + beside), y)
     for pattern in PATTERNS:
         for name in MADE_UP:
             add(pattern.format(f"{name} License" if rng.random() < 0.7 else f"{name} Terms, version {rng.integers(1, 5)}"), 0)
@@ -138,9 +211,11 @@ def fit(negatives: list[str], rounds: int = 200, l1: float = 2e-4, seed: int = 5
     one = np.eye(n_classes, dtype=np.float32)[y]
     weights, bias = np.zeros((len(known), n_classes), np.float32), np.zeros(n_classes, np.float32)
     ahead, ahead_b, t, rate = weights, bias, 1.0, 0.5
-    a, o = x[~hold], one[~hold]
+    # equal examples are one with a weight
+    _, at, which = np.unique([hash((r.tobytes(), int(c))) for r, c in zip(np.packbits(x[~hold] > 0, axis=1), y[~hold], strict=True)], return_index=True, return_inverse=True)
+    a, o, times = x[~hold][at], one[~hold][at], np.bincount(which).astype(np.float32)[:, None] / len(which)
     for _ in range(rounds):
-        d = (_softmax(a @ ahead + ahead_b) - o) / len(a)
+        d = (_softmax(a @ ahead + ahead_b) - o) * times
         new = ahead - rate * (a.T @ d)
         new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
         new_b = ahead_b - rate * d.sum(axis=0)
@@ -165,14 +240,63 @@ def _pairs(codes: np.ndarray) -> set[int]:
 
 
 def templates() -> list[list[set[int]]]:
-    """Word pairs of each family's notices and names, by class."""
+    """Word pairs of each family's notices and body paragraphs, by class."""
     out: list[list[set[int]]] = [[]]
-    for names in FAMILIES.values():
-        p = paragraphs(pa.array([pattern.format(n) for n in names for pattern in PATTERNS]))
+    for family, names in FAMILIES.items():
+        p = paragraphs(pa.array([*(pattern.format(n) for n in names for pattern in PATTERNS), *BODIES.get(family, ())]))
         out.append([_pairs(p.codes[a:b]) for a, b in zip(p.offsets[:-1], p.offsets[1:], strict=True)])
     return out
 
 
+def _hits(p: Paragraphs, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of the first word, words, row of weights) of the n-grams that have weights, across lines too."""
+    at, size, row = [], [], []
+    for k in (1, 2, 3):
+        own = number[(windows(p.codes, k) % U64(BUCKETS)).astype(np.int64)]
+        hit = np.flatnonzero(own >= 0)
+        at.append(hit)
+        size.append(np.full(len(hit), k))
+        row.append(own[hit])
+    return np.concatenate(at), np.concatenate(size), np.concatenate(row)
+
+
+def _units(p: Paragraphs):
+    """(fewest word pairs of a notice that confirms, first lines, lines behind) of what is read as one paragraph: each line,
+    blocks of many lines, and JOINED neighbouring lines of a block. Of each triple, no two overlap."""
+    n = len(p.doc)
+    line = np.arange(n)
+    yield 0, line, line + 1
+    starts = np.flatnonzero(p.apart)
+    stops = np.r_[starts[1:], n][: len(starts)]
+    stop = np.repeat(stops, stops - starts)
+    more = stops - starts > max(JOINED)
+    yield LEAST_BLOCK, starts[more], stops[more]
+    for w in JOINED:
+        for phase in range(w):
+            begin = line[phase::w]
+            begin = begin[begin + w <= stop[begin]]
+            yield 1, begin, begin + w
+
+
+def _likely(p: Paragraphs, hits, begin, end, weights, bias, temperature):
+    """(unit, class, probability) of the units that the model takes for a notice."""
+    none = np.zeros(0, np.int64)
+    if not len(begin) or not len(weights):
+        return none, none, np.zeros(0)
+    at, size, row = hits
+    unit = np.searchsorted(p.offsets[begin], at, "right") - 1
+    inside = (unit >= 0) & (at + size <= p.offsets[end][unit])
+    key = np.unique(unit[inside] * len(weights) + row[inside])  # each n-gram counts once
+    unit, feature = key // len(weights), key % len(weights)
+    own, which = np.unique(unit, return_inverse=True)
+    raw = np.stack([np.bincount(which, weights=weights[feature, c], minlength=len(own)) for c in range(len(bias))], axis=1) + bias
+    prob = _softmax(raw / temperature)
+    best = prob.argmax(axis=1)
+    most = prob[np.arange(len(own)), best]
+    likely = (best > 0) & (most >= LEAST_PROBABILITY)
+    return own[likely], best[likely], most[likely]
+
+
 _OUT = "doc_id long, n_paragraphs long, n_licensed long, n_unconfirmed long, families array<string>, paragraphs array<int>, probability double"
 
 
@@ -183,32 +307,34 @@ def _scan(shared):
         for whole in batches:
             for batch in slices(whole, "text"):
                 p = paragraphs(batch.column("text"))
-                row, feature = grams(p)
-                hit = number[feature] >= 0
-                key = np.unique(row[hit] * len(weights) + number[feature[hit]])  # each n-gram counts once
-                row, feature = key // max(1, len(weights)), key % max(1, len(weights))
-                own, which = np.unique(row, return_inverse=True)
-                raw = np.stack([np.bincount(which, weights=weights[feature, c], minlength=len(own)) for c in range(len(bias))], axis=1) + bias
-                prob = _softmax(raw / temperature)
-                best = prob.argmax(axis=1)
-                likely = np.flatnonzero((best > 0) & (prob[np.arange(len(own)), best] >= LEAST_PROBABILITY))
                 found: dict[int, list[tuple[str, int, float]]] = {}
-                doubted: dict[int, int] = {}
+                covered: dict[int, list[tuple[str, int, int]]] = {}
+                doubted: dict[int, set[int]] = {}
                 first = np.searchsorted(p.doc, np.arange(batch.num_rows))
-                for i in likely.tolist():
-                    para = int(own[i])
-                    pairs, doc = _pairs(p.codes[p.offsets[para] : p.offsets[para + 1]]), int(p.doc[para])
-                    if any(len(t & pairs) >= LEAST_SHARED * len(t) for t in known[best[i]]):
-                        found.setdefault(doc, []).append((names[best[i]], para - int(first[doc]), float(prob[i, best[i]])))
-                    else:
-                        doubted[doc] = doubted.get(doc, 0) + 1
+                hits = _hits(p, number)
+                for least, begin, end in _units(p):
+                    unit, best, prob = _likely(p, hits, begin, end, weights, bias, temperature)
+                    for u, y, share in zip(unit.tolist(), best.tolist(), prob.tolist(), strict=True):
+                        a, b = int(begin[u]), int(end[u])
+                        doc = int(p.doc[a])
+                        if least and any(c < b and d > a and (d - c > 1 or f == names[y]) for f, c, d in covered.get(doc, [])):
+                            continue  # a line has it already, or more lines say more
+                        pairs = _pairs(p.codes[p.offsets[a] : p.offsets[b]])
+                        if any(len(t) >= least and len(t & pairs) >= LEAST_SHARED * len(t) for t in known[y]):
+                            found.setdefault(doc, []).append((names[y], a - int(first[doc]), share))
+                            covered.setdefault(doc, []).append((names[y], a, b))
+                            doubted.get(doc, set()).difference_update(range(a, b))
+                        elif not least:
+                            doubted.setdefault(doc, set()).add(a)
+                for of in found.values():
+                    of.sort(key=lambda x: x[1])
                 rows = [(sorted({f for f, _, _ in found.get(d, [])}), [k for _, k, _ in found.get(d, [])], max((s for _, _, s in found.get(d, [])), default=0.0)) for d in range(batch.num_rows)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
                         pa.array(p.lines, pa.int64()),
                         pa.array([len(k) for _, k, _ in rows], pa.int64()),
-                        pa.array([doubted.get(d, 0) for d in range(batch.num_rows)], pa.int64()),
+                        pa.array([len(doubted.get(d, ())) for d in range(batch.num_rows)], pa.int64()),
                         pa.array([f for f, _, _ in rows], pa.list_(pa.string())),
                         pa.array([k for _, k, _ in rows], pa.list_(pa.int32())),
                         pa.array([s for _, _, s in rows], pa.float64()),
@@ -223,11 +349,13 @@ def scan(docs: DataFrame, negative_docs: int = NEGATIVE_DOCS) -> DataFrame:
     """doc_id, n_paragraphs, n_licensed, n_unconfirmed, families, paragraphs, probability for every row of docs (doc_id,
     text and any others).
 
-    Every paragraph (a line with a word) of every whole text is scored; the model has weights for few n-grams only, and a
+    Every paragraph (a line with a word) of every whole text is scored, and so are neighbouring lines as one and whole blocks
+    between blank lines, since notices are wrapped; a notice over several lines has the place of its first. The model has weights for few n-grams only, and a
     paragraph with none of them is unknown. n_licensed: paragraphs with a likely family that a notice of the family
-    confirms, by the share of its word pairs; families: theirs, sorted; paragraphs: their places among the text's
+    or a
+    paragraph of its licence text confirms, by the share of its word pairs; families: theirs, sorted; paragraphs: their places among the text's
     paragraphs; probability: the highest; n_unconfirmed: likely ones that no notice confirms. The model is fitted on made
-    notices and on paragraphs of at most negative_docs documents without the word 'licen'.
+    notices, on licence texts and on paragraphs of at most negative_docs documents without the word 'licen'.
     Null or empty texts have no paragraphs. A null doc_id and repeated rows are rows like others. Equal scores go to the
     family first in the alphabet. An empty table gives no rows.
     """

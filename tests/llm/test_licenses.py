@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -45,3 +46,15 @@ def test_planted_lines(spark):
     want = {r.doc_id: sorted({f for line, f in lines.items() if re.search(f"^{re.escape(line)}$", r.text, re.M)}) for r in docs.collect()}
     got = {r.doc_id: r.families for r in L.scan(docs).collect()}
     assert got == want and any(want.values())
+
+
+def test_licence_bodies_and_wrapped_notices(spark):
+    """Paragraphs of licence texts, in one line or wrapped, and notices over two lines."""
+    wrap = lambda t, n: "\n".join(textwrap.wrap(t, n))
+    bodies = [(f, b) for f in ("MIT", "BSD", "ISC", "Apache-2.0", "GPL-2.0", "GPL-3.0", "MPL-2.0") for b in L.BODIES[f][:1]]
+    texts = [(f, t) for f, b in bodies for t in (b, f"some words before\n\n{wrap(b, 70)}\n\nand after", f"/*\n{wrap(b, 50)}\n*/")]
+    texts += [("Apache-2.0", "the start\nThis work is licensed under the Apache\nLicense, Version 2.0.\nthe end"), ("GPL-3.0", "This work is licensed under the GNU\nGeneral Public License, version 3.")]
+    texts += [("", "permission was granted to him\nfree of charge by the mayor\nto use the old mill and its copies of the map"), ("", "The redistribution of land and its use\nin many forms is permitted here")]
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.families, r.n_licensed) for r in L.scan(docs).collect()}
+    assert got == {k: ([f] if f else [], int(bool(f))) for k, (f, _) in enumerate(texts)}
