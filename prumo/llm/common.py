@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -22,9 +24,13 @@ _SCRATCH: dict[str, str] = {}
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary folder serves if all
+    runs on this machine (tests, benches); on a cluster its files would be lost to other executors, so that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         base = _SCRATCH.setdefault(app, tempfile.mkdtemp(prefix="prumo-"))
     return base.rstrip("/")
@@ -49,6 +55,23 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """run for mapInArrow, giving freed memory back to the system when a task ends: Spark's Python workers live on, and what
+    one stage's workers hold counts against the executors of the next."""
+
+    @functools.wraps(run)
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim_heap = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+            if trim_heap:
+                trim_heap(0)
+
+    return inner
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have: name, with underscores before it if need be."""
     taken = {c.lower() for c in df.columns}
@@ -73,21 +96,43 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 _P = 0x9E3779B97F4A7C15 | 1
-_PINV = pow(_P, -1, 1 << 64)
-_RNG = np.random.default_rng(20240229)
-_TABLE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-_LOWER = _TABLE.copy()
-_LOWER[ord("A") : ord("Z") + 1] = _TABLE[ord("a") : ord("z") + 1]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
-_POWERS: list[np.ndarray] = []
+#: What stays of eight bytes read at a place, by the bytes that still belong to the word.
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_STEP, _SIZE, _SEED = (U64(x) for x in (0x8CB92BA72F3D8DD7, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
+
+
+class Spans(NamedTuple):
+    """Hashes of byte spans, and their blocks of eight bytes: span i has blocks[first[i]:first[i + 1]]."""
+
+    hashes: np.ndarray
+    blocks: np.ndarray
+    first: np.ndarray
+
 
+def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> Spans:
+    """64-bit hashes of the spans buf[starts:ends], none of them empty.
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 21)
-        _POWERS[:] = [np.multiply.accumulate(np.r_[U64(1), np.full(size, U64(k))]) for k in (_P, _PINV)]
-    return _POWERS[0], _POWERS[1]
+    A span's blocks of eight bytes, the last one filled up with zeros, are mixed with their place each and added up; the sum
+    is mixed with the length. Mixing is not linear, so unlike polynomials modulo 2**64 no family of texts is known to
+    collide (Thue-Morse words among them), and spans of up to eight bytes and equal length never do. Of n distinct longer
+    spans about n**2 / 2**65 pairs are taken for one. seed: another hash of the same spans, independent of the first.
+    """
+    size = ends - starts
+    count = (size + 7) >> 3
+    first = np.cumsum(count) - count
+    place = np.arange(int(count.sum()), dtype=np.int64) - np.repeat(first, count)
+    at = np.repeat(starts, count) + 8 * place
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(buf) + 1,), "<u8", buffer=padded, strides=(1,))
+    blocks = eight[at] & _MASK[np.minimum(np.repeat(ends, count) - at, 8)]
+    with np.errstate(over="ignore"):
+        mixed = mix64(blocks + (place + 1).astype(U64) * _STEP + U64(seed) * _SEED)
+        sums = np.add.reduceat(mixed, first) if len(first) else mixed
+        return Spans(mix64(sums + size.astype(U64) * _SIZE), blocks, np.append(first, len(blocks)))
 
 
 class Words(NamedTuple):
@@ -109,11 +154,8 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, bounds - bounds[0]
 
 
-def hash_words(col: pa.Array, lower: bool) -> Words:
-    """Split texts at ASCII white space and give each word a 64-bit hash, with A-Z as a-z if lower.
-
-    Prefix sums of byte_value * P**position make every word's hash a difference, so no loop over words is needed.
-    """
+def hash_words(col: pa.Array, lower: bool, seed: int = 0) -> Words:
+    """Split texts at ASCII white space and give each word a 64-bit hash (see hash_spans), with A-Z as a-z if lower."""
     buf, bounds = text_buffer(col)
     n = len(buf)
     if not n:
@@ -127,11 +169,7 @@ def hash_words(col: pa.Array, lower: bool) -> Words:
     first[inner] |= word[inner]
     last[inner - 1] |= word[inner - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    power, inverse = _powers(n)
-    sums = np.empty(n + 1, U64)
-    sums[0] = 0
-    np.cumsum((_LOWER if lower else _TABLE)[buf] * power[:n], out=sums[1:])
-    hashes = mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
+    hashes = hash_spans(_LOWER[buf] if lower else buf, starts, ends, seed).hashes
     return Words(hashes, np.searchsorted(starts, bounds), starts, ends, buf)
 
 
@@ -149,14 +187,17 @@ def trim(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
             edge[left] += step
     full = starts < ends
     starts, ends = starts[full], ends[full]
-    power, inverse = _powers(len(buf))
-    sums = np.zeros(len(buf) + 1, U64)
-    np.cumsum(_LOWER[buf] * power[: len(buf)], out=sums[1:])
-    return full, starts, ends, mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
+    return full, starts, ends, hash_spans(_LOWER[buf], starts, ends).hashes
 
 
 def windows(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the k words from each position on; one entry for each position that has k words."""
+    """Hash of the k words from each position on; one entry for each position that has k words.
+
+    A polynomial over word hashes modulo 2**64. Sequences that collide whatever the base (Thue-Morse words) have 1,024
+    terms at least, so k is 512 at most.
+    """
+    if k > 512:
+        raise ValueError("windows of more than 512 words")
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, U64)
@@ -177,7 +218,7 @@ def windows(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix64(out + U64(k))
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about `most` bytes of text, one row at least."""
     if not batch.num_rows:
         return

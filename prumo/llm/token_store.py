@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from prumo.llm.common import _IS_SPACE, _TABLE, U64, _powers, chunks, mix64, scratch_dir, text_buffer
+from prumo.llm.common import _IS_SPACE, chunks, frugal, hash_spans, scratch_dir, slices, text_buffer
 
 #: Bytes of text in a shard, about; a longer document is a shard of its own.
 SHARD = 4 << 20
@@ -32,9 +32,11 @@ class Encoder:
     punctuation after a letter or digit, and at and after a line break that stands alone; merges never cross pieces. So
     texts are cut there, and a piece's ids don't depend on its neighbours. Texts with Unicode white space or with "<|"
     (special tokens) are left to the tokenizer whole.
+    Equal pieces of a call are found by their hashes and then compared byte by byte with the one that speaks for them; a
+    text with a piece that differs is left to the tokenizer whole. Pieces are kept by their bytes, MOST of them at most.
     """
 
-    MOST = 1_500_000  # pieces kept
+    MOST = 400_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,14 +50,14 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known: dict[bytes, int] = {}
         self.at, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.ids, self.used = np.zeros(1 << 18, np.int32), 0
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
-    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+    def _learn(self, pieces: list[bytes]) -> None:
         """Adds pieces: those that start with a space are encoded as one text and told apart by their bytes."""
         spaced = np.array([p[:1] == b" " for p in pieces], bool)
         joint, sizes = [p for p, own in zip(pieces, spaced.tolist(), strict=True) if own], np.zeros(len(pieces), np.int64)
@@ -81,7 +83,18 @@ class Encoder:
         self.at[n : n + len(pieces)] = self.used + np.cumsum(sizes[order]) - sizes[order]
         self.ids[self.used : self.used + total] = np.concatenate(parts)
         self.used += total
-        self.known.update(zip(keys[order].tolist(), range(n, n + len(pieces)), strict=True))
+        self.known.update(zip((pieces[i] for i in order.tolist()), range(n, n + len(pieces)), strict=True))
+
+    @staticmethod
+    def _mark(odd: np.ndarray, bounds: np.ndarray, starts: np.ndarray, size: np.ndarray, blocks: np.ndarray, place: np.ndarray, speaks: np.ndarray) -> None:
+        """Marks texts with a piece whose bytes aren't those of the piece that speaks for it, though their hashes are equal."""
+        wrong = size != size[speaks]
+        long = np.flatnonzero((size > 8) & ~wrong & (speaks != np.arange(len(speaks))))  # shorter ones of equal size and hash are equal
+        count = (size[long] + 7) >> 3
+        inside = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        differ = blocks[np.repeat(place[long], count) + inside] != blocks[np.repeat(place[speaks[long]], count) + inside]
+        wrong[np.repeat(long, count)[differ]] = True
+        odd[np.searchsorted(bounds, starts[wrong], "right") - 1] = True
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (each followed by END), and how many each text has. Null counts as empty."""
@@ -106,21 +119,19 @@ class Encoder:
             first[bounds[:-1][filled]] = True
         starts = np.flatnonzero(first)
         ends = np.r_[starts[1:], n] if len(starts) else starts
-        power, inverse = _powers(n)
-        sums = np.zeros(n + 1, U64)
-        np.cumsum(_TABLE[buf] * power[:n], out=sums[1:])
-        hashes = mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
+        hashes, blocks, place = hash_spans(buf, starts, ends)
         which, keys = pd.factorize(hashes)  # a hash table, where np.unique sorts
         index = np.zeros(len(keys), np.int64)
         index[which] = np.arange(len(which))  # any occurrence
+        self._mark(odd, bounds, starts, ends - starts, blocks, place, index[which])
         if len(self.known) > self.MOST:
             self.clear()
-        names = keys.tolist()
+        raw = buf.tobytes()
+        names = [raw[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist(), strict=True)]
         numbers = [self.known.get(k, -1) for k in names]
         new = [i for i, v in enumerate(numbers) if v < 0]
         if new:
-            raw = buf.tobytes()
-            self._learn(keys[new], [raw[a:b] for a, b in zip(starts[index[new]].tolist(), ends[index[new]].tolist(), strict=True)])
+            self._learn([names[i] for i in new])
             for i in new:
                 numbers[i] = self.known[names[i]]
         number = np.array(numbers, np.int64)[which] if len(numbers) else np.zeros(0, np.int64)
@@ -138,15 +149,6 @@ class Encoder:
         return ids, np.diff(edges)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -155,17 +157,16 @@ def default_tokenizer() -> str:
 
 def _shards(path: str | None, most: int):
     def run(batches):
-        from prumo.llm.common import slices
         from prumo.llm.wavelet import write_shard
 
-        enc, task, k = encoder(path or default_tokenizer()), TaskContext.get().partitionId(), 0
+        enc, task, k = Encoder(path or default_tokenizer()), TaskContext.get().partitionId(), 0
         for part in chunks(batches, "text", most):
-            parts, lengths = zip(*(enc.encode(s.column("text")) for s in slices(part, "text")), strict=True)
+            parts, lengths = zip(*(enc.encode(s.column("text")) for s in slices(part, "text", 2 << 20)), strict=True)
             docs, ids, lengths = part.column("doc_id").to_pylist(), np.concatenate(parts), np.concatenate(lengths)
             yield pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([k], pa.int32()), pa.array([len(docs)], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([write_shard(docs, lengths, ids)], pa.binary())], ["part", "shard", "n_docs", "n_ids", "payload"])
             k += 1
 
-    return run
+    return frugal(run)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, shard_bytes: int = SHARD) -> None:
