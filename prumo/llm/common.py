@@ -44,6 +44,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, tag: str) -> DataFrame:
+    """As materialize, dealt out by key into as many buckets as the session has shuffle partitions, so that joins on key
+    move the other side only, however many follow. The table is in the catalog only until it has been read back."""
+    spark = df.sparkSession
+    n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"prumo_{tag}_{uuid.uuid4().hex}"
+    df.repartition(n, key).write.bucketBy(n, key).option("path", f"{scratch_dir(spark)}/{name.replace('_', '-', 1)}").saveAsTable(name, format="parquet")
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # a table with a path of its own: the files stay
+    return out
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a materialised table that nothing reads any more."""
     spark = df.sparkSession
