@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prumo.llm.common import _P, U64, fresh, hash_words, materialize, mix64, slices, trim, windows
+from prumo.llm.common import _P, U64, fresh, frugal, hash_words, materialize, mix64, slices, trim, windows
 
 #: Template tokens of a window; a shorter item is one window, if it has SHORTEST tokens.
 WINDOW = 13
@@ -247,7 +247,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, pass_window
     begins or ends with it, and is left out of this otherwise.
     """
     spark = docs.sparkSession
-    known = items.select(F.col("item_id").cast("long").alias("id"), "text").filter("id is not null").mapInArrow(_item_windows(window), _HIT)
+    known = items.select(F.col("item_id").cast("long").alias("id"), "text").filter("id is not null").mapInArrow(frugal(_item_windows(window)), _HIT)
     known = materialize(known, "benchmark")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").filter("id is not null")
     passes = max(1, -(-known.count() // pass_windows))
@@ -255,7 +255,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, pass_window
     for k in range(passes):
         part = known.filter(F.pmod(F.xxhash64("hash"), F.lit(passes)) == k).select("length", "hash").distinct().toArrow()
         sought = {n: np.sort(part.filter(pc.equal(part["length"], n))["hash"].to_numpy().view(np.uint64)) for n in set(part["length"].to_pylist())}
-        found = texts.mapInArrow(_find(spark.sparkContext.broadcast(sought)), _HIT)
+        found = texts.mapInArrow(frugal(_find(spark.sparkContext.broadcast(sought))), _HIT)
         hits = found if hits is None else hits.union(found)
     left = hits.select(F.col("id").alias("doc_id"), F.col("pos").alias("at"), "length", "hash", F.col("slots").alias("own"), F.col("other").alias("too"))
     right = known.select(F.col("id").alias("item_id"), "pos", "length", "hash", "slots", "edge", "other")

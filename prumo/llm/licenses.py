@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prumo.llm.common import U64, hash_words, slices, trim, windows
+from prumo.llm.common import U64, frugal, hash_words, slices, trim, windows
 
 #: Names of each family. Notices are made from these and PATTERNS.
 FAMILIES = {
@@ -365,7 +365,7 @@ def scan(docs: DataFrame, negative_docs: int = NEGATIVE_DOCS) -> DataFrame:
     lines = [line for t in sample.column("text").to_pylist() for line in (t or "").split("\n") if line.split() and not any(w in line.lower() for w in ("licen", "copyright", "spdx", "cc by", "cc0"))]
     model = fit(lines[: 20 * negative_docs])
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
-    return table.mapInArrow(_scan(shared), _OUT)
+    return table.mapInArrow(frugal(_scan(shared)), _OUT)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from prumo.llm.common import U64, ask, buckets, chunks, discard, fresh, hash_words, materialize, mix64, pack, slices, unpack, windows
+from prumo.llm.common import U64, ask, buckets, chunks, discard, fresh, frugal, hash_words, materialize, mix64, pack, slices, unpack, windows
 from prumo.llm.graph import components, local_forest, packed, to_blob
 
 #: Widths of the size classes that share a number of segments.
@@ -359,7 +359,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, block:
     """
     n_buckets = buckets(docs.sparkSession)
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scan = materialize(table.mapInArrow(_scan(k, num, den, n_buckets), _SCAN), "signatures")
+    scan = materialize(table.mapInArrow(frugal(_scan(k, num, den, n_buckets)), _SCAN), "signatures")
     facts = scan.filter("bucket = -1").select("doc_id", "n", "p1", "p2")
     leads = facts.filter("n > 0 and doc_id is not null").groupBy("n", "p1", "p2").agg(F.min("doc_id").alias("lead"))
     known = materialize(facts.join(leads, ["n", "p1", "p2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("lead", "doc_id").alias("lead")), "facts")
@@ -410,10 +410,10 @@ def _sized(cands: DataFrame) -> DataFrame:
 def _narrow(wide: DataFrame, k: int, num: int, den: int, n_buckets: int) -> DataFrame:
     """Groups again, for documents whose groups are large because they share lines or passages that many have: candidates
     must now share a prefix in the order of rising document frequency, so that common n-grams come last."""
-    held = materialize(wide.select("doc_id", "text").mapInArrow(_pack_chunks, "chunk long, body binary"), "wide")
-    asks = held.mapInArrow(_count_asks(k, n_buckets), "bucket int, chunk long, n int, blob binary")
+    held = materialize(wide.select("doc_id", "text").mapInArrow(frugal(_pack_chunks), "chunk long, body binary"), "wide")
+    asks = held.mapInArrow(frugal(_count_asks(k, n_buckets)), "bucket int, chunk long, n int, blob binary")
     answers = asks.groupBy("bucket").applyInArrow(_count_replies, "chunk long, bucket int, levels binary").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "levels")).alias("answers"))
-    scan = materialize(held.join(answers, "chunk").select("body", "answers").mapInArrow(_prefixes(k, num, den, n_buckets), _SCAN), "prefixes")
+    scan = materialize(held.join(answers, "chunk").select("body", "answers").mapInArrow(frugal(_prefixes(k, num, den, n_buckets)), _SCAN), "prefixes")
     roots = components(_edges(scan))
     every = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
     return _sized(every.select(F.col("node").alias("doc_id"), F.col("root").alias("cand")))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prumo.llm.common import U64, fresh, hash_words, slices, text_buffer
+from prumo.llm.common import U64, fresh, frugal, hash_words, slices, text_buffer
 
 #: Hash buckets for words.
 WORD_BUCKETS = 1 << 15
@@ -169,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).dropna().filter(~held_out(F.col("doc_id")))
     sample = known.orderBy(F.md5(F.col("doc_id").cast("string")), "label").limit(sample_rows).dropDuplicates(["doc_id"])
     rows = _columns(docs).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id")
-    got = rows.mapInArrow(_featurise, "label int, feature array<int>, value array<double>").toArrow().combine_chunks()
+    got = rows.mapInArrow(frugal(_featurise), "label int, feature array<int>, value array<double>").toArrow().combine_chunks()
     if not got.num_rows:
         return Model(0.0, np.zeros(SIZE), np.zeros((SIZE, RANK)))
     lists = got.column("feature").combine_chunks()
@@ -189,7 +189,7 @@ def score(docs: DataFrame, model: Model, name: str = "_score") -> DataFrame:
                 raw, _ = _scores(own, *features(batch.column("text"), batch.column("n_chars") if chars else None), batch.num_rows)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(raw, -500, 500))))], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(frugal(run), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -207,7 +207,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     across = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("_n")).select("part", F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_parts"))
     starts = shards.select("part", "shard", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("_own")).join(parts, "part").select("part", "shard", (F.col("_parts") + F.col("_own")).alias("before"))
-    return shards.join(starts.hint("shuffle_hash"), ["part", "shard"]).select("before", "payload").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return shards.join(starts.hint("shuffle_hash"), ["part", "shard"]).select("before", "payload").mapInArrow(frugal(_read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
