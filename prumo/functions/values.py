@@ -14,16 +14,32 @@ def brl(amount: Column) -> Column:
     return F.concat(F.lit("R$ "), F.translate(F.format_number(amount, 2), ",.", ".,"))
 
 
+#: An amount in Brazilian writing: digits in groups of three after points, or plain ones, then cents after a comma; it ends
+#: where no more of a number follows.
+_AMOUNT = r"(?<![\d.,])((?:[1-9]\d{0,2}(?:\.\d{3})+|\d+)(?:,\d{1,2})?)(?![\d]|[.,]\d)"
+
+
 def parse_brl(text: Column) -> Column:
-    """First amount with thousands points or plain digits and an optional ,dd as decimal(12,2); null if none."""
-    found = F.regexp_extract(text, r"(\d{1,3}(?:\.\d{3})+(?:,\d{2})?|\d+(?:,\d{2})?)", 1)
-    return F.when(found != "", F.translate(F.regexp_replace(found, r"\.", ""), ",", ".").try_cast("decimal(12,2)"))
+    """First amount such as 1.234,56, 1234,5 or 1234 as decimal(12,2); null if none. 12.5 is no such amount."""
+    found = F.regexp_extract(text, _AMOUNT, 1)
+    return F.when(found != "", F.translate(F.translate(found, ".", ""), ",", ".").try_cast("decimal(12,2)"))
+
+
+def digits_brl(text: Column) -> Column:
+    """An amount from all digits and the last comma or point with two digits behind it, whatever else stands there; null
+    without digits."""
+    bare = F.regexp_replace(text, r"[^\d.,]", "")
+    cents = F.regexp_extract(bare, r"[.,](\d{2})$", 1)
+    whole = F.regexp_replace(F.when(cents != "", F.regexp_replace(bare, r"[.,]\d{2}$", "")).otherwise(bare), r"\D", "")
+    return F.when(whole != "", F.concat(whole, F.lit("."), F.when(cents != "", cents).otherwise("00")).try_cast("decimal(12,2)"))
 
 
 def parse_count(text: Column) -> Column:
-    """Leading digits as a count; null if there are none (a reserve list)."""
+    """Leading digits as a count; the fraction of a number is cut off, true and false count as 1 and 0; null if there are no
+    digits (a reserve list)."""
     digits = F.regexp_extract(text, r"^\s*(\d+)", 1)
-    return F.when(digits != "", digits.try_cast("int"))
+    word = F.lower(F.trim(text))
+    return F.when(digits != "", digits.try_cast("int")).when(word == "true", 1).when(word == "false", 0)
 
 
 def hourly(salary: Column, weekly_hours: Column) -> Column:
@@ -31,6 +47,22 @@ def hourly(salary: Column, weekly_hours: Column) -> Column:
     return F.when((weekly_hours > 0) & (salary > 0), F.round((salary / (weekly_hours * 52 / 12)).cast("decimal(18,6)"), 2))
 
 
+def weekly_hours(text: Column) -> Column:
+    """Hours of a plain weekly load ('40h', '40 horas semanais', '20h/semana'); null for shifts and other wordings."""
+    hours = F.regexp_extract(F.lower(F.trim(text)), r"^(\d{1,2})\s*(?:h|hs|horas?)\s*(?:(?:/|por|na)?\s*sem(?:ana|anal|anais)?\.?)?$", 1)
+    return F.when(hours != "", hours.try_cast("int"))
+
+
+def hourly_of(salary: Column, kind: Column, load: Column) -> Column:
+    """hourly() for pay by the month and a plain weekly load; null otherwise."""
+    return F.when(kind == "mensal", hourly(salary, weekly_hours(load)))
+
+
+def hourly_shown(salary: Column, kind: Column, load: Column) -> Column:
+    """The looser value for display: pay counts as monthly unless it says otherwise, hours are the first number of the load."""
+    return F.when(F.coalesce(kind, F.lit("mensal")) == "mensal", hourly(salary, F.regexp_extract(load, r"(\d+)", 1).try_cast("int")))
+
+
 def date_br(text: Column) -> Column:
     return F.to_date(F.try_to_timestamp(text, F.lit("dd/MM/yyyy")))
 
@@ -57,6 +89,29 @@ def period(text: Column) -> tuple[Column, Column]:
     return F.when((year == "") & (begin > end), F.add_months(begin, -12)).otherwise(begin), end
 
 
+def moment_pair(text: Column) -> tuple[Column, Column]:
+    """Two date-times 'dd/mm/yy[yy] HH:MM' in a text; null where there is none or an impossible one."""
+    rx = r"(\d{2}/\d{2}/)(\d{2,4})\D{1,6}?(\d{2}:\d{2})"
+    days, years, times = (F.regexp_extract_all(text, F.lit(rx), F.lit(k)) for k in (1, 2, 3))
+
+    def at(k: int) -> Column:
+        year = F.get(years, F.lit(k))
+        return F.try_to_timestamp(F.concat(F.get(days, F.lit(k)), F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year), F.lit(" "), F.get(times, F.lit(k))), F.lit("dd/MM/yyyy HH:mm")).cast("timestamp_ntz")
+
+    return at(0), at(1)
+
+
+def period_any(text: Column) -> tuple[Column, Column]:
+    """Both ends of a period in any of the usual writings: two dates with a dash, 'a', 'até' or 'e' between, in figures or words."""
+    figures = F.regexp_extract_all(text, F.lit(r"(\d{2}/\d{2}/\d{4})"), F.lit(1))
+    worded = F.regexp_extract_all(text, F.lit(r"(?iu)(\d{1,2}\s+(?:de\s+)?[a-zç]+\s+(?:de\s+)?\d{4})"), F.lit(1))
+    both, short = F.size(figures) >= 2, period(text)
+    return (
+        F.when(both, date_br(figures[0])).when(F.size(worded) >= 2, date_words(worded[0])).otherwise(short[0]),
+        F.when(both, date_br(figures[1])).when(F.size(worded) >= 2, date_words(worded[1])).otherwise(short[1]),
+    )
+
+
 def chronology(begin: Column, end: Column) -> Column:
     return F.when(begin.isNull() | end.isNull(), "incomplete").when(end < begin, "reversed").when(end == begin, "same day").otherwise("in order")
 

@@ -17,7 +17,7 @@ def tally(df: DataFrame, keys: list[str], decision: str) -> DataFrame:
     entries = F.collect_list(F.struct(F.col("_n").alias("n"), F.col(decision).alias("d")))
     per = counts.groupBy(*keys).agg(F.sum("_n").alias("group_size"), F.max("_n").alias("_top"), entries.alias("_e"))
     best = F.filter("_e", lambda e: e["n"] == F.col("_top"))
-    ordered = F.array_sort("_e", lambda a, b: F.when(a["n"] != b["n"], (b["n"] - a["n"]).cast("int")).when(a["d"] < b["d"], -1).when(a["d"] > b["d"], 1).otherwise(0))
+    ordered = F.array_sort("_e", lambda a, b: F.when(a["n"] > b["n"], -1).when(a["n"] < b["n"], 1).when(a["d"] < b["d"], -1).when(a["d"] > b["d"], 1).otherwise(0))
     text = F.array_join(F.transform(ordered, lambda e: F.concat(e["n"].cast("string"), F.lit(" "), F.coalesce(e["d"].cast("string"), F.lit("?")))), ", ")
     return per.select(*keys, "group_size", F.when(F.size(best) == 1, best[0]["d"]).alias("mode"), text.alias("histogram"))
 

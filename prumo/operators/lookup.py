@@ -36,3 +36,36 @@ def null_score(*columns: Column) -> Column:
 def missing_names(**columns: Column) -> Column:
     """Names of the columns that are null, in the order given."""
     return F.array_join(F.array_compact(F.array(*(F.when(c.isNull(), F.lit(n)) for n, c in columns.items()))), ",")
+
+
+def pick_by_date(df: DataFrame, keys: list[str], day: str, tie: list[Column], columns: list[str], latest: bool) -> DataFrame:
+    """Per key the columns of its latest or earliest row; a row without a date comes last either way, the first by `tie` wins
+    among equal dates."""
+    when = F.unix_date(F.col(day).cast("date"))
+    return pick_per_key(df, keys, [F.col(day).isNull(), -when if latest else when, *tie], columns)
+
+
+def insert_flags(df: DataFrame, seen: DataFrame, keys: list[str], order: list[Column], row: str) -> DataFrame:
+    """Per row whether insert-or-ignore adds it: it is the first of its key in df, and the key isn't in seen."""
+    fresh = first_seen(df, seen, keys, order, [row]).select(F.col(row).alias("_first"))
+    return df.select(row).join(fresh, F.col(row) == F.col("_first"), "left").select(row, F.col("_first").isNotNull().alias("is_new"))
+
+
+def once_per(df: DataFrame, log: DataFrame, keys: list[str], ts: str, days: int) -> DataFrame:
+    """Rows of df that come `days` or more after the last logged row of their key, or whose key isn't logged. Keys are compared
+    as 64-bit hashes, so that the log needs no names."""
+    last = log.groupBy(F.xxhash64(*keys).alias("_h")).agg(F.max(ts).alias("_last"))
+    held = df.withColumn("_h", F.xxhash64(*keys)).join(last, "_h", "left")
+    return held.filter(F.col("_last").isNull() | (F.col(ts) >= F.col("_last") + F.make_dt_interval(F.lit(days)))).drop("_h", "_last")
+
+
+def in_any(column: Column, wanted: list[str]) -> Column:
+    """Whether an array shares a value with a list; false for null."""
+    return F.coalesce(F.arrays_overlap(column, F.array(*map(F.lit, wanted))), F.lit(False))
+
+
+def rotation(names: list[str], day: Column, each: int, every_days: int) -> Column:
+    """The day's `each` names of a fixed list, going round; the start moves on once in every_days days."""
+    start = F.floor((F.datediff(day, F.lit("0001-01-01").cast("date")) + 1) / every_days) * each
+    every = F.array(*map(F.lit, names))
+    return F.transform(F.sequence(F.lit(0), F.lit(each - 1)), lambda i: F.element_at(every, F.pmod(start + i, F.lit(len(names))).cast("int") + 1))

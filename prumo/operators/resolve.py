@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from prumo.functions import text as texts
+
 
 def word_grams(df: DataFrame, keys: list[str], text: Column, lengths: list[int]) -> DataFrame:
     """keys, place (from 1), gram: every run of n words for n in lengths."""
@@ -41,3 +43,88 @@ def code_then_name(left: DataFrame, right: DataFrame, code: str, name: str, valu
     by_name = right.groupBy(F.col(name).alias("_n")).agg(F.min_by(value, code).alias("_v2"))
     joined = left.join(by_code, F.col(code) == F.col("_c"), "left").join(by_name, F.col(name) == F.col("_n"), "left")
     return joined.withColumn(value, F.when(F.col("_c").isNotNull(), F.col("_v1")).otherwise(F.col("_v2"))).drop("_c", "_v1", "_n", "_v2")
+
+
+def by_folded_name(left: DataFrame, right: DataFrame, name: str, within: list[str], code: str) -> DataFrame:
+    """left with the code of the row in right whose name is equal without accents and case, within equal other columns; the
+    smallest code of several. One equi join on the folded name."""
+    known = right.withColumn("_n", texts.fold_ascii(F.col(name))).groupBy("_n", *within).agg(F.min(code).alias(code))
+    return left.withColumn("_n", texts.fold_ascii(F.col(name))).join(known, ["_n", *within], "left").drop("_n")
+
+
+#: Particles before a state's name, and institutions whose place name isn't where they are.
+_OF = ("do", "da", "dos", "das", "de")
+_INSTITUTIONS = ("fundacao", "instituto", "associacao", "consorcio", "faculdade", "universidade", "cooperativa")
+
+
+def place_in_title(df: DataFrame, key: str, title: str, link: str, places: DataFrame, code: str, name: str, state: str) -> DataFrame:
+    """key, code: the place that a title names; titles without one are left out.
+
+    A name counts where it first stands in the folded title, at the start of a word (its end may lie in a longer word), with
+    at least six letters, unless the words before it make it a state or an institution, or 'do', 'da' ... follows. The longest
+    name wins, then the smallest code. A title that ends in other states' marks ('- MG'), or a link under another state's
+    government, rejects it. Titles meet names on four letters at the starts of words, so no title meets all names.
+    """
+    folded = df.select(key, F.col(title).alias("_title"), F.col(link).alias("_link"), texts.fold_ascii(F.col(title)).alias("_t"))
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length("_t"), F.lit(1))), lambda i: (i == 1) | ~F.substring("_t", i - 1, F.lit(1)).rlike("[a-z]"))
+    at = folded.select("*", F.explode(starts).alias("_at")).withColumn("_four", F.substring(F.col("_t"), F.col("_at"), F.lit(4)))
+    names = places.select(F.col(code).alias("_code"), F.upper(state).alias("_state"), texts.fold_ascii(F.col(name)).alias("_n")).filter(F.length(F.replace("_n", F.lit(" "), F.lit(""))) >= 6)
+    names = names.withColumn("_four", F.substring("_n", 1, 4))
+    hits = at.join(names, "_four").filter(F.expr("instr(_t, _n)") == F.col("_at"))
+    before = F.trim(F.expr("substring(_t, 1, _at - 1)"))
+    last = F.regexp_extract(before, r"([a-z]+)$", 1)
+    behind = F.expr("substring(_t, _at + length(_n))")
+    a_state = before.contains("estado") & last.isin(*_OF)
+    hits = hits.filter(~a_state & ~last.isin(*_INSTITUTIONS) & ~behind.rlike(r"^\s+d[oa]s?\s+\w"))
+    best = hits.groupBy(key).agg(F.min_by(F.struct("_code", "_state", "_title", "_link"), F.struct(-F.length("_n"), F.col("_code"))).alias("_v")).select(key, "_v.*")
+    marks = F.filter(F.regexp_extract_all("_title", F.lit(r"[-–/]\s*([A-Z]{2})\b"), F.lit(1)), lambda m: m.isin(texts.STATES))
+    host = texts.state_of_host(F.col("_link"))
+    fine = ((F.size(marks) == 0) | F.array_contains(marks, F.col("_state"))) & (host.isNull() | (host == F.col("_state")))
+    return best.filter(fine).select(key, F.col("_code").alias(code))
+
+
+def contest_keys(text: Column) -> Column:
+    """Numbers such as 001/2023 or 1/23 in a text as 'number/two digits of the year'."""
+    rx = F.lit(r"(?<!\d)(\d+)\s*/\s*(?:20)?(\d{2})(?!\d)")
+    numbers, years = F.regexp_extract_all(text, rx, F.lit(1)), F.regexp_extract_all(text, rx, F.lit(2))
+    return F.zip_with(numbers, years, lambda n, y: F.concat(F.regexp_replace(n, "^0+(?=.)", ""), F.lit("/"), y))
+
+
+#: What may stand before the name of a town in that of its city hall.
+_CITY_HALL = r"^(?:prefeitura|municipio)(?: municipal)?(?: de| do| da)?\s+"
+
+
+def city_of(entity: Column) -> Column:
+    """The folded name of the town that an entity names."""
+    return F.regexp_replace(texts.fold_keep(entity), _CITY_HALL, "")
+
+
+def target_contest(df: DataFrame, key: str, state: str, entity: str, text: str, targets: DataFrame, target: str, city: str, number: str, role: str) -> DataFrame:
+    """key, target: the contest that a publication is about. Of the contests of its town, one whose number it cites comes
+    first; else, if it speaks of physicians, one without a number with a word of five letters or more of its role in the
+    text, where medical examinations and the like don't count. The smallest target of several."""
+    folded = texts.fold_keep(F.col(text))
+    pubs = df.select(key, state, city_of(F.col(entity)).alias("_city"), contest_keys(F.col(text)).alias("_cited"), F.regexp_replace(folded, r"(?:exame|laudo|atestado) medico|junta medica|perito medico|medico[- ]veterin", " ").alias("_clean"), folded.contains("medic").alias("_med"))
+    known = targets.select(F.col(target).alias("_target"), state, texts.fold_keep(F.col(city)).alias("_city"), contest_keys(F.col(number)).alias("_numbers"), F.col(number).isNull().alias("_none"), F.filter(F.split(texts.fold_keep(F.col(role)), " "), lambda w: F.length(w) >= 5).alias("_words"))
+    met = pubs.join(known, [state, "_city"])
+    cites = F.coalesce(F.arrays_overlap("_cited", "_numbers"), F.lit(False))
+    named = F.col("_none") & F.col("_med") & ((F.size("_words") == 0) | F.exists("_words", lambda w: F.col("_clean").contains(w)))
+    ranked = met.withColumn("_rank", F.when(cites, 0).when(named, 1)).filter("_rank is not null")
+    return ranked.groupBy(key).agg(F.min_by("_target", F.struct("_rank", "_target")).alias(target))
+
+
+def fill_by_role(page: DataFrame, notice: DataFrame, role: str, columns: list[str]) -> DataFrame:
+    """page with nulls of `columns` taken from the notice's row of the equal folded role (the first of several by role); rows
+    that only the notice has are not added."""
+    key = F.col("_k")
+    firsts = notice.withColumn("_k", texts.fold_keep(F.col(role))).groupBy("_k").agg(F.min_by(F.struct(*columns), F.col(role)).alias("_v"))
+    joined = page.withColumn("_k", texts.fold_keep(F.col(role))).join(firsts, "_k", "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_v.{c}")) for c in columns}).drop(key, "_v")
+
+
+def entry_of(df: DataFrame, key: str, entries: str, field: str, wanted: str) -> DataFrame:
+    """key, entry: of an array of structs the first whose field equals the row's wanted text without accents and case; null
+    where none does."""
+    rows = df.select(key, F.col(wanted).alias("_w"), F.posexplode_outer(entries).alias("_at", "_e"))
+    same = texts.fold_keep(F.col(f"_e.{field}")) == texts.fold_keep(F.col("_w"))
+    return rows.groupBy(key).agg(F.min_by("_e", F.when(same, F.col("_at"))).alias("entry"))

@@ -24,8 +24,9 @@ def fill_null(df: DataFrame, values: DataFrame, keys: list[str], column: str) ->
 
 
 def get_or_create(df: DataFrame, known: DataFrame, keys: list[str], id_column: str) -> DataFrame:
-    """Distinct keys of df with the id of `known`, or a new one from the hash of the keys, so that reruns agree."""
-    fresh = F.substring(F.sha2(F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys)), 256), 1, 16)
+    """Distinct keys of df with the id of `known`, or a new one from the hash of the keys as JSON, so that reruns agree and
+    null, empty and joined keys differ."""
+    fresh = F.substring(F.sha2(F.to_json(F.struct(*(F.col(k).cast("string").alias(k) for k in keys)), {"ignoreNullFields": "false"}), 256), 1, 16)
     d, k = df.select(*keys).distinct().alias("d"), known.select(*keys, id_column).alias("k")
     cond = [F.col(f"d.{c}").eqNullSafe(F.col(f"k.{c}")) for c in keys]
     made = d.join(k, cond, "left").select(*(F.col(f"d.{c}").alias(c) for c in keys), F.col(f"k.{id_column}").alias("_id"))
@@ -43,3 +44,36 @@ def priority_insert(df: DataFrame, keys: list[str], kind: str, ranks: list[str],
     """Insert-or-ignore in which better kinds come first whatever their arrival; kinds not ranked come last."""
     rank = F.coalesce(F.array_position(F.array(*map(F.lit, ranks)), F.col(kind)), F.lit(0))
     return pick_per_key(df, keys, [F.when(rank > 0, rank).otherwise(len(ranks) + 1), *order], columns)
+
+
+def transition(df: DataFrame, key: str, state: str, to: dict[str, Column], at: Column) -> tuple[DataFrame, DataFrame]:
+    """df with each row's state set to the first name in `to` whose condition holds, and the log of real changes: key, before,
+    after, at. Rows that no condition meets keep their state; a row that has the state already logs nothing."""
+    after = F.col(state)
+    for name, where in reversed(to.items()):
+        after = F.when(where, F.lit(name)).otherwise(after)
+    both = df.withColumn("_after", after)
+    log = both.filter(~F.col("_after").eqNullSafe(F.col(state))).select(key, F.col(state).alias("before"), F.col("_after").alias("after"), at.alias("at"))
+    return both.withColumn(state, F.col("_after")).drop("_after"), log
+
+
+def append_log(entries: DataFrame, path: str, day: Column) -> None:
+    """Appends entries to an audit log of Parquet folders by day; what is there is never rewritten."""
+    entries.withColumn("day", day).write.mode("append").partitionBy("day").parquet(path)
+
+
+def markdown_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Each row as a line of a Markdown table; bars in values are escaped, nulls are empty."""
+    cells = [F.coalesce(F.replace(F.col(c).cast("string"), F.lit("|"), F.lit("\\|")), F.lit("")) for c in columns]
+    return df.select(*columns, F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+
+
+def write_report(df: DataFrame, path: str, columns: list[str]) -> None:
+    """A CSV report with a header."""
+    df.select(*columns).write.mode("overwrite").csv(path, header=True)
+
+
+def isolated(df: DataFrame, problem: Column) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and failed ones with their error text: one bad item doesn't end the lot. problem: an error text or null."""
+    judged = df.withColumn("error", problem)
+    return judged.filter("error is null").drop("error"), judged.filter("error is not null")

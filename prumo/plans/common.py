@@ -1,9 +1,37 @@
-"""Reading the driver's tables."""
+"""Reading the driver's tables, and rows of boundary cases."""
 
 from __future__ import annotations
 
+from datetime import date, datetime
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).upper()
+    if isinstance(value, (int, Decimal)):
+        return f"CAST({value} AS DECIMAL(12,2))" if isinstance(value, Decimal) else str(value)
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value}'"
+    if isinstance(value, date):
+        return f"DATE '{value}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def expected(columns: str, rows: list[tuple]) -> str:
+    """SQL for what boundary cases must give, written out by hand."""
+    body = ", ".join("(" + ", ".join(map(_literal, r)) + ")" for r in rows)
+    return f"SELECT * FROM (VALUES {body}) v({columns})"
+
+
+def numbered(spark: SparkSession, texts: list) -> DataFrame:
+    """Texts of boundary cases as rows (id from 0, t)."""
+    return spark.createDataFrame(list(enumerate(texts)), "id int, t string")

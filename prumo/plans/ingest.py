@@ -97,7 +97,7 @@ def fill_only_null(spark, sf):
     return writes.fill_null(c, new, ["k"], "seg").select("c_custkey", "seg")
 
 
-@query("""SELECT source, lang, CASE WHEN lang = 'en' THEN 'old-' || source ELSE left(sha256(coalesce(source, '') || '|' || coalesce(lang, '')), 16) END AS id, coalesce(lang <> 'en', true) AS created
+@query("""SELECT source, lang, CASE WHEN lang = 'en' THEN 'old-' || source ELSE left(sha256('{"source":' || coalesce('"' || source || '"', 'null') || ',"lang":' || coalesce('"' || lang || '"', 'null') || '}'), 16) END AS id, coalesce(lang <> 'en', true) AS created
 FROM (SELECT DISTINCT source, lang FROM documents)""")
 def get_or_create(spark, sf):
     d = table(spark, sf, "documents")

@@ -23,7 +23,7 @@ def query(sql: str):
 WINDOW d AS (PARTITION BY CAST(ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/Los_Angeles' AS DATE) ORDER BY ts, event_id)""")
 def tz_day_quota(spark, sf):
     e = table(spark, sf, "events").withColumn("day", control.local_day(F.col("ts"), "America/Los_Angeles"))
-    return control.capped(e, ["day"], ["ts", "event_id"], 300).select("event_id", "day", F.col("used").cast("long").alias("used"), "within_cap")
+    return control.capped(e, "day", ["ts", "event_id"], 300, "ts").select("event_id", "day", F.col("used").cast("long").alias("used"), "within_cap")
 
 
 @query("""SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '1' HOUR PRECEDING AND CURRENT ROW), 2) AS spent FROM events""")

@@ -68,25 +68,19 @@ def html_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(html.article_text(F.col("html"))).alias("body"))
 
 
-@query("SELECT page_id FROM pages WHERE regexp_matches(lower(html), 'captcha|access denied|cloudflare|are you a robot|enable javascript|too many requests') OR (page_id % 5 = 0 AND length(html) < 4000)")
+@query(f"""SELECT page_id FROM pages WHERE {' OR '.join(f"contains(lower(html), '{m}')" for m in rules.BLOCK_MARKERS)} OR (page_id % 5 = 0 AND length(html) < 4000)""")
 def block_markers(spark, sf):
     status = F.when(F.col("page_id") % 5 == 0, 403).otherwise(200)
     return table(spark, sf, "pages").filter(rules.blocked(F.col("html"), status, 4000)).select("page_id")
 
 
-_ROLE = "CASE o_orderpriority WHEN '1-URGENT' THEN 'Médico Pediatra' WHEN '2-HIGH' THEN 'Médico Veterinário' WHEN '3-MEDIUM' THEN 'Enfermeiro' WHEN '5-LOW' THEN 'Analista de Sistemas' ELSE 'Engenheiro Civil' END"
+_ROLES = ("Médico Pediatra", "Médico Veterinário", "Enfermeiro", "Analista de Sistemas", "Engenheiro Civil", "Secretária Médica", "Fisioterapeuta Geriátrico", "Estagiário - Medicina", "Psiquiatra", "Professor de Enfermagem", "Cirurgião Geral", "Motorista")
 
 
-def _role():
-    p = F.col("o_orderpriority")
-    return F.when(p == "1-URGENT", "Médico Pediatra").when(p == "2-HIGH", "Médico Veterinário").when(p == "3-MEDIUM", "Enfermeiro").when(p == "5-LOW", "Analista de Sistemas").otherwise("Engenheiro Civil")
-
-
-@query(f"""WITH r AS (SELECT o_orderkey, strip_accents(lower({_ROLE})) AS f FROM orders)
-SELECT o_orderkey, NOT regexp_matches(f, '{rules.COLLIDING}') AND regexp_matches(f, '{rules.PHYSICIAN}') AS physician,
-  CASE WHEN regexp_matches(f, '{rules.AREAS["enfermagem"]}') THEN 'enfermagem' WHEN regexp_matches(f, '{rules.AREAS["engenharia"]}') THEN 'engenharia' WHEN regexp_matches(f, '{rules.AREAS["ti"]}') THEN 'ti' ELSE 'outra' END AS area FROM r""")
+@query("""SELECT o_orderkey, o_orderkey % 12 IN (0, 8, 10) AS physician, ['outra', 'outra', 'enfermagem', 'ti', 'engenharia', 'outra', 'outra', 'outra', 'outra', 'outra', 'outra', 'outra'][o_orderkey % 12 + 1] AS area FROM orders""")
 def classify_rules(spark, sf):
-    folded = text.fold_keep(_role())
+    role = F.element_at(F.array(*map(F.lit, _ROLES)), (F.col("o_orderkey") % len(_ROLES) + 1).cast("int"))
+    folded = text.fold_keep(role)
     return table(spark, sf, "orders").select("o_orderkey", rules.physician(folded).alias("physician"), rules.area(folded).alias("area"))
 
 
@@ -102,8 +96,7 @@ def opening_notices(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", rules.opening_notice(folded).alias("opening"), rules.opportunity(folded).alias("opportunity"))
 
 
-@query("""WITH t AS (SELECT o_orderkey, 'R$ ' || translate(format('{:,.2f}', o_totalprice), ',.', '.,') AS shown FROM orders)
-SELECT o_orderkey, shown, CAST(replace(replace(regexp_extract(shown, '(\\d{1,3}(?:\\.\\d{3})+(?:,\\d{2})?|\\d+(?:,\\d{2})?)', 1), '.', ''), ',', '.') AS DECIMAL(12,2)) AS parsed FROM t""".replace("\\\\", "\\"))
+@query("""SELECT o_orderkey, 'R$ ' || translate(format('{:,.2f}', o_totalprice), ',.', '.,') AS shown, o_totalprice::DECIMAL(12,2) AS parsed FROM orders""")
 def money_parse(spark, sf):
     shown = values.brl(F.col("o_totalprice"))
     return table(spark, sf, "orders").select("o_orderkey", shown.alias("shown"), values.parse_brl(shown).alias("parsed"))

@@ -12,11 +12,22 @@ def rolling_sum(df: DataFrame, key: str, ts: str, value: str, interval: str, out
     return df.withColumn(out, F.expr(f"sum({value}) over (partition by {key} order by {ts} range between interval {interval} preceding and current row)"))
 
 
-def spacing_violations(df: DataFrame, key: str, order: list[str], ts: str, least_seconds: int) -> DataFrame:
-    """Rows that come sooner than least_seconds after the row before, per key, with the gap in whole seconds."""
-    before = F.lag(ts).over(W.partitionBy(key).orderBy(*order))
+def _slices(df: DataFrame, key: str, ts: str, hours: int) -> DataFrame:
+    """df with _slice: the row's stretch of `hours` hours, so that a window over (key, slice) splits a key of any size."""
+    return df.withColumn("_slice", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (3_600_000_000 * hours)))
+
+
+def spacing_violations(df: DataFrame, key: str, order: list[str], ts: str, least_seconds: int, hours: int = 24) -> DataFrame:
+    """Rows that come sooner than least_seconds after the row before, per key, with the gap in whole seconds. Rows are ordered
+    within slices of `hours` hours; the first of a slice is held against the last time of the slice before it that has rows,
+    from a small table of one row for each key and slice."""
+    cut = _slices(df, key, ts, hours)
+    own = F.lag(ts).over(W.partitionBy(key, "_slice").orderBy(*order))
+    ends = cut.groupBy(key, "_slice").agg(F.max(ts).alias("_end"))
+    ends = ends.select(key, "_slice", F.lag("_end").over(W.partitionBy(key).orderBy("_slice")).alias("_last"))
+    before = F.coalesce(F.col("_own"), F.col("_last"))
     gap = F.floor((F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(before.cast("timestamp"))) / 1_000_000)
-    return df.withColumn("gap_seconds", gap).filter(F.col("gap_seconds") < least_seconds)
+    return cut.withColumn("_own", own).join(ends, [key, "_slice"]).withColumn("gap_seconds", gap).filter(F.col("gap_seconds") < least_seconds).drop("_slice", "_own", "_last")
 
 
 def runs(df: DataFrame, key: str, order: list[str], flag: Column, least: int, ts: str) -> DataFrame:
@@ -31,10 +42,16 @@ def local_day(ts: Column, zone: str) -> Column:
     return F.to_date(F.from_utc_timestamp(ts.cast("timestamp"), zone))
 
 
-def capped(df: DataFrame, keys: list[str], order: list[str], cap: int) -> DataFrame:
-    """Running number of each row in its quota period, and whether it is within the cap."""
-    n = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("used", n).withColumn("within_cap", F.col("used") <= cap)
+def capped(df: DataFrame, key: str, order: list[str], cap: int, ts: str, hours: int = 1) -> DataFrame:
+    """Running number of each row in its quota period, and whether it is within the cap. Rows are numbered within slices of
+    `hours` hours; the rows of earlier slices come from a table of one row for each period and slice."""
+    cut = _slices(df, key, ts, hours)
+    own = F.row_number().over(W.partitionBy(key, "_slice").orderBy(*order))
+    counts = cut.groupBy(key, "_slice").agg(F.count("*").alias("_n"))
+    earlier = F.coalesce(F.sum("_n").over(W.partitionBy(key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(key, "_slice", earlier.alias("_before"))
+    n = F.col("_own") + F.col("_before")
+    return cut.withColumn("_own", own).join(counts, [key, "_slice"]).withColumn("used", n).withColumn("within_cap", n <= cap).drop("_slice", "_own", "_before")
 
 
 def reread(df: DataFrame, id_column: str, seen: DataFrame, margin: int) -> DataFrame:
@@ -64,3 +81,47 @@ def new_sentences(df: DataFrame, key: str, turn: str, text: str) -> DataFrame:
     where a sentence is new is the smallest that has it."""
     rows = sentence_rows(df, [key, turn], text)
     return rows.groupBy(key, "sentence").agg(F.min(turn).alias(turn)).groupBy(key, turn).agg(F.count("*").alias("n_new"))
+
+
+def late(df: DataFrame, ts: str, mark: Column, margin: str) -> DataFrame:
+    """df without rows older than a watermark minus a margin."""
+    return df.filter(F.col(ts) >= mark - F.expr(f"interval {margin}"))
+
+
+def first_reads(new: DataFrame, key: str, turn: str, alerts: Column) -> DataFrame:
+    """New sentences that may alert: all from a key's second read on, but of its first read only those that meet `alerts`,
+    since on a first read everything is new. new: key, turn, sentence, each sentence at the turn where it is new."""
+    first = new.groupBy(key).agg(F.min(turn).alias("_first"))
+    return new.join(first, key).filter((F.col(turn) > F.col("_first")) | alerts).drop("_first")
+
+
+def estimates(df: DataFrame, key: str, order: list[str], value: str, least: float, last: int = 8) -> DataFrame:
+    """What each call is taken to cost beforehand: the larger of `least` and the largest of the key's `last` calls before."""
+    before = F.max(value).over(W.partitionBy(key).orderBy(*order).rowsBetween(-last, -1))
+    return df.withColumn("estimate", F.greatest(F.coalesce(before, F.lit(least)), F.lit(least)))
+
+
+def quarantine(runs_: DataFrame, key: str, seconds: int) -> DataFrame:
+    """From when to when a key is out after each run of failures (see runs): `seconds` from the run's last failure on."""
+    return runs_.select(key, F.col("ended").alias("since"), (F.col("ended") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))).alias("until"))
+
+
+def dispatch(used: DataFrame, day: str, kind: str, count: str, priority: list[str], caps: dict[str, int], out: DataFrame | None = None) -> DataFrame:
+    """Per day the least used kind under its cap and not in `out` (day, kind); ties by priority; null if none is left."""
+    rank = F.array_position(F.array(*map(F.lit, priority)), F.col(kind))
+    cap = F.create_map(*(F.lit(x) for kv in caps.items() for x in kv))
+    open_ = F.col(count) < F.coalesce(cap[F.col(kind)], F.lit((1 << 63) - 1))
+    rows = used.filter(rank > 0)
+    if out is not None:
+        rows = rows.join(out.select(day, kind, F.lit(True).alias("_out")).distinct(), [day, kind], "left")
+        open_ = open_ & F.col("_out").isNull()
+    return rows.groupBy(day).agg(F.min_by(kind, F.when(open_, F.struct(F.col(count), rank))).alias(kind))
+
+
+def canary(df: DataFrame, batch: str, order: str, known: Column, every: int) -> DataFrame:
+    """Per batch of `every` items whether its canary (the item whose answer is known) came back: batches after one that failed
+    aren't to be trusted. Columns: batch, alive, trusted."""
+    numbered = df.withColumn(batch, F.floor(F.col(order) / every))
+    per = numbered.groupBy(batch).agg(F.coalesce(F.bool_or(known), F.lit(False)).alias("alive"))
+    failed = per.filter(~F.col("alive")).agg(F.min(batch).alias("_bad"))
+    return per.join(F.broadcast(failed)).withColumn("trusted", F.col("_bad").isNull() | (F.col(batch) < F.col("_bad"))).drop("_bad")
