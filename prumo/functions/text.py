@@ -20,6 +20,7 @@ def _normal(form: str):
 
 def _decomposed(text: Column, form: str) -> Column:
     """text in a Unicode normal form. Only rows with a character beyond ASCII leave the JVM; the others are in it already."""
+    text = F.col(text) if isinstance(text, str) else text
     return F.coalesce(_normal(form)(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
 def pick_per_key(df: DataFrame, keys: list[str], order: list[Column], columns: list[str], latest: bool = False) -> DataFrame:
-    """The columns of each key's first row by `order` (last if latest); a grouped minimum, so no window sorts a group."""
+    """The columns of each key's first row by `order` (last if latest); a grouped minimum, so no window sorts a group. A null
+    counts as smaller than all values; pick_by_date puts rows without a date last."""
     by = F.struct(*order)
     value = F.struct(*columns)
     return df.groupBy(*keys).agg((F.max_by if latest else F.min_by)(value, by).alias("_v")).select(*keys, *(F.col(f"_v.{c}").alias(c) for c in columns))
@@ -69,3 +71,20 @@ def rotation(names: list[str], day: Column, each: int, every_days: int) -> Colum
     start = F.floor((F.datediff(day, F.lit("0001-01-01").cast("date")) + 1) / every_days) * each
     every = F.array(*map(F.lit, names))
     return F.transform(F.sequence(F.lit(0), F.lit(each - 1)), lambda i: F.element_at(every, F.pmod(start + i, F.lit(len(names))).cast("int") + 1))
+
+
+def batch_of_day(df: DataFrame, key: str, size: int, day: int, block: int = 1000) -> DataFrame:
+    """Of the rows in the order of a whole-number key, cut into batches of `size`, the batch number day modulo how many there are.
+
+    A row's place is the rows in blocks of keys before its own, plus its place in its block. Counts of blocks are summed in two
+    levels (blocks of blocks), so that the one window over all groups has a row for each block squared keys only.
+    """
+    cut = df.withColumn("_b", F.floor(F.col(key) / block)).withColumn("_c", F.floor(F.col("_b") / block))
+    blocks = cut.groupBy("_c", "_b").agg(F.count("*").alias("_n"))
+    up = W.partitionBy("_c").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    tops = blocks.groupBy("_c").agg(F.sum("_n").alias("_n"))
+    tops = tops.select(F.col("_c").alias("_top"), F.coalesce(F.sum("_n").over(W.orderBy("_c").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(W.orderBy("_c").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("_all"))
+    placed = blocks.withColumn("_own", F.coalesce(F.sum("_n").over(up), F.lit(0))).join(tops, F.col("_c") == F.col("_top"))
+    starts = placed.select(F.col("_b").alias("_block"), (F.col("_before") + F.col("_own")).alias("_start"), F.col("_all"))
+    rank = F.row_number().over(W.partitionBy("_b").orderBy(key)) - 1
+    return cut.withColumn("_r", rank).join(starts, F.col("_b") == F.col("_block")).filter(F.floor((F.col("_r") + F.col("_start")) / size) == F.lit(day) % F.ceil(F.col("_all") / size)).select(*df.columns)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,15 +9,15 @@ from prumo.functions import text as texts
 
 
 def word_grams(df: DataFrame, keys: list[str], text: Column, lengths: list[int]) -> DataFrame:
-    """keys, place (from 1), gram: every run of n words for n in lengths."""
+    """keys, place (from 1), gram: every run of n words for n in lengths, from one pass over the texts."""
     words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
     every = []
     for n in lengths:
         gram = words
         for k in range(1, n):  # append the word k places on; past the end that gives null
             gram = F.zip_with(gram, F.slice(words, k + 1, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
-        every.append(df.select(*keys, F.posexplode(gram).alias("place", "gram")).filter("gram is not null").withColumn("place", F.col("place") + 1))
-    return reduce(DataFrame.unionByName, every)
+        every.append(F.transform(gram, lambda g, i: F.struct((i + 1).alias("place"), g.alias("gram"))))
+    return df.select(*keys, F.explode(F.concat(*every)).alias("_g")).select(*keys, "_g.*").filter("gram is not null")
 
 
 def longest_name(df: DataFrame, key: str, text: Column, names: DataFrame, name: str, lengths: list[int]) -> DataFrame:

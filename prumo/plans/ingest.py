@@ -46,10 +46,10 @@ def embedded_json_rows(spark, sf):
 
 @query("""SELECT s_nationkey, s_suppkey::VARCHAR AS code, s_name AS name FROM supplier WHERE s_suppkey % 7 <> 0""")
 def data_table_records(spark, sf):
-    """Tables sent as names and rows of values; each seventh row has a value too few."""
+    """Tables sent as names and rows of values, 500 suppliers at most each; each seventh row has a value too few."""
     full = F.array(F.col("s_suppkey").cast("string"), F.col("s_name"))
     row = F.when(F.col("s_suppkey") % 7 == 0, F.slice(full, 1, 1)).otherwise(full)
-    sent = table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.to_json(F.collect_list(row)).alias("rows"))
+    sent = table(spark, sf, "supplier").groupBy("s_nationkey", F.floor(F.col("s_suppkey") / 500)).agg(F.to_json(F.collect_list(row)).alias("rows"))
     got = feeds.data_table(sent, "s_nationkey", F.lit('["Code", "Name"]'), F.col("rows"))
     return got.select("s_nationkey", F.col("record")["Code"].alias("code"), F.col("record")["Name"].alias("name"))
 

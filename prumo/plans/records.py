@@ -79,11 +79,10 @@ def first_of_filtered(spark, sf):
 @query("""WITH c AS (SELECT l_orderkey, count(*) AS n_children, sum(l_quantity)::BIGINT AS quantity, string_agg(l_partkey || ':' || l_linenumber, ',' ORDER BY l_linenumber, l_partkey) AS children FROM lineitem GROUP BY ALL)
 SELECT o_orderkey, coalesce(n_children, 0) AS n_children, quantity, children FROM orders LEFT JOIN c ON o_orderkey = l_orderkey""")
 def children_collect(spark, sf):
-    kids = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity"))).alias("k"))
+    kids = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("k"), F.count("*").alias("n"), F.sum("l_quantity").cast("long").alias("quantity"))
     rows = table(spark, sf, "orders").join(kids, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     text = F.array_join(F.transform("k", lambda x: F.concat(x["l_partkey"].cast("string"), F.lit(":"), x["l_linenumber"].cast("string"))), ",")
-    total = F.aggregate(F.transform("k", lambda x: x["l_quantity"].cast("long")), F.lit(0).cast("long"), lambda a, b: a + b)
-    return rows.select("o_orderkey", F.when(F.col("k").isNull(), 0).otherwise(F.size("k")).cast("long").alias("n_children"), total.alias("quantity"), text.alias("children"))
+    return rows.select("o_orderkey", F.coalesce("n", F.lit(0)).alias("n_children"), "quantity", text.alias("children"))
 
 
 @query("""SELECT l_orderkey FROM lineitem GROUP BY ALL HAVING bool_or(l_returnflag = 'R') AND NOT bool_or(l_returnflag = 'A')""")
@@ -122,12 +121,13 @@ def nulls_last_queue(spark, sf):
     return o.orderBy(F.col("priority").asc_nulls_last(), F.desc("o_orderdate"), "o_orderkey").limit(500).select("o_orderkey", "priority")
 
 
-@query("""WITH c AS (SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS seg, c_nationkey FROM customer), s AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'MACHINERY' END AS seg, s_nationkey FROM supplier)
-SELECT c_custkey, s_suppkey FROM c JOIN s ON c_nationkey = s_nationkey AND c.seg IS NOT DISTINCT FROM s.seg""")
+@query("""WITH c AS (SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS seg, c_nationkey FROM customer), s AS (SELECT s_suppkey, CASE WHEN s_acctbal > 3000 THEN 'MACHINERY' END AS seg, s_nationkey FROM supplier)
+SELECT c_custkey, count(*) AS n, min(s_suppkey) AS first FROM c JOIN s ON c_nationkey = s_nationkey AND c.seg IS NOT DISTINCT FROM s.seg GROUP BY c_custkey""")
 def null_safe_match(spark, sf):
+    """Null matches null. One side is aggregated by the key first, so that the join adds no rows."""
     c = table(spark, sf, "customer").select("c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("seg"), "c_nationkey")
-    s = table(spark, sf, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 3 != 0, "MACHINERY").alias("seg2"), "s_nationkey")
-    return c.join(s, (F.col("c_nationkey") == F.col("s_nationkey")) & F.col("seg").eqNullSafe(F.col("seg2"))).select("c_custkey", "s_suppkey")
+    s = table(spark, sf, "supplier").groupBy("s_nationkey", F.when(F.col("s_acctbal") > 3000, "MACHINERY").alias("seg2")).agg(F.count("*").alias("n"), F.min("s_suppkey").alias("first"))
+    return c.join(s, (F.col("c_nationkey") == F.col("s_nationkey")) & F.col("seg").eqNullSafe(F.col("seg2"))).select("c_custkey", "n", "first")
 
 
 @query("""SELECT o_orderkey FROM orders WHERE (nullif(o_orderstatus, 'F') IS NULL OR o_orderdate >= TIMESTAMP '1997-01-01') AND (nullif(o_orderstatus, 'O') IS NULL OR o_orderdate < TIMESTAMP '1998-01-01')""")
@@ -145,11 +145,11 @@ def canonical_upsert(spark, sf):
     return canonical.fold_known(e, ["user_id"], [F.col("ts"), F.col("event_id")], ["kind", "amount", "props"])
 
 
-@query("""WITH seen AS (SELECT DISTINCT user_id, event_type FROM events WHERE event_id < 100)
+@query("""WITH seen AS (SELECT DISTINCT user_id, event_type FROM events WHERE value > 490)
 SELECT user_id, event_type, arg_min(event_id, row(ts, event_id)) AS event_id FROM events e WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = e.user_id AND s.event_type = e.event_type) GROUP BY ALL""")
 def insert_ignore(spark, sf):
     e = table(spark, sf, "events")
-    return lookup.first_seen(e, e.filter("event_id < 100"), ["user_id", "event_type"], [F.col("ts"), F.col("event_id")], ["event_id"])
+    return lookup.first_seen(e, e.filter("value > 490"), ["user_id", "event_type"], [F.col("ts"), F.col("event_id")], ["event_id"])
 
 
 @query("""SELECT user_id, event_type, arg_max(value, row(ts, event_id)) AS value, arg_max(props, row(ts, event_id)) AS props FROM events GROUP BY ALL""")
@@ -162,12 +162,12 @@ def counter_upsert(spark, sf):
     return canonical.counters(table(spark, sf, "events").withColumn("day", F.to_date("ts")), ["day", "event_type"], F.col("value") < 5)
 
 
-@query("""WITH o AS (SELECT c_nationkey AS k, max(c_name) AS name, nullif(max(c_mktsegment), 'MACHINERY') AS seg FROM customer WHERE c_custkey % 7 < 3 GROUP BY ALL),
-n AS (SELECT n_nationkey AS k, n_name AS name, CASE WHEN n_regionkey > 1 THEN n_name END AS seg, true AS fresh FROM nation WHERE n_nationkey % 4 <> 1)
+@query("""WITH o AS (SELECT c_nationkey AS k, max(c_name) AS name, nullif(max(c_mktsegment), 'MACHINERY') AS seg FROM customer WHERE c_acctbal > 5000 GROUP BY ALL),
+n AS (SELECT n_nationkey AS k, n_name AS name, CASE WHEN n_regionkey > 1 THEN n_name END AS seg, true AS fresh FROM nation WHERE n_regionkey <> 3)
 SELECT coalesce(n.k, o.k) AS k, CASE WHEN fresh THEN n.name ELSE o.name END AS name, coalesce(n.seg, o.seg) AS seg FROM o FULL JOIN n ON o.k = n.k""")
 def dim_upsert_coalesce(spark, sf):
-    old = table(spark, sf, "customer").filter("c_custkey % 7 < 3").groupBy(F.col("c_nationkey").alias("k")).agg(F.max("c_name").alias("name"), F.nullif(F.max("c_mktsegment"), F.lit("MACHINERY")).alias("seg"))
-    new = table(spark, sf, "nation").filter("n_nationkey % 4 <> 1").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"), F.when(F.col("n_regionkey") > 1, F.col("n_name")).alias("seg"))
+    old = table(spark, sf, "customer").filter("c_acctbal > 5000").groupBy(F.col("c_nationkey").alias("k")).agg(F.max("c_name").alias("name"), F.nullif(F.max("c_mktsegment"), F.lit("MACHINERY")).alias("seg"))
+    new = table(spark, sf, "nation").filter("n_regionkey <> 3").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"), F.when(F.col("n_regionkey") > 1, F.col("n_name")).alias("seg"))
     return canonical.upsert_dimension(old, new, ["k"], ["name"], ["seg"])
 
 
@@ -205,13 +205,9 @@ def version_merge(spark, sf):
 @query("""WITH n AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS r, count(*) OVER () AS total FROM customer)
 SELECT c_custkey FROM n WHERE r // 35 = 200 % ceil(total / 35.0)::INT""")
 def rotation_batch(spark, sf):
-    """The day's batch of 35 (day of year modulo the number of batches). The place of a customer is the customers with
-    smaller keys, from counts per key block, so no window holds them all."""
-    c = table(spark, sf, "customer").select("c_custkey").withColumn("_b", F.floor(F.col("c_custkey") / 1000))
-    blocks = c.groupBy("_b").agg(F.count("*").alias("n")).withColumn("_before", F.coalesce(F.sum("n").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    total = c.agg(F.count("*").alias("total"))
-    placed = c.join(blocks, "_b").withColumn("r", F.row_number().over(W.partitionBy("_b").orderBy("c_custkey")) - 1 + F.col("_before"))
-    return placed.crossJoin(F.broadcast(total)).filter(F.floor(F.col("r") / 35) == F.lit(200) % F.ceil(F.col("total") / 35)).select("c_custkey")
+    """The day's batch of 35 (day of year modulo the number of batches)."""
+    c = table(spark, sf, "customer").select("c_custkey")
+    return lookup.batch_of_day(c, "c_custkey", 35, 200)
 
 
 @query("""SELECT CAST(ts AS DATE) AS day, arg_min(event_id, row(md5(CAST(ts AS DATE)::VARCHAR || ':' || event_id), event_id)) AS event_id FROM events GROUP BY ALL""")
@@ -233,10 +229,10 @@ def integrity_suite(spark, sf):
     return consensus.checks(found, ["id"])
 
 
-@query("""WITH truth AS (SELECT doc_id, quality FROM labels WHERE doc_id % 3 = 0), found AS (SELECT doc_id FROM documents WHERE n_chars > 800)
+@query("""WITH truth AS (SELECT doc_id, quality FROM labels WHERE toxic = 0), found AS (SELECT doc_id FROM documents WHERE n_chars > 800)
 SELECT quality, count(*) AS n, count(f.doc_id) AS refound, round(100.0 * count(f.doc_id) / count(*), 2)::DOUBLE AS recall_pct FROM truth t LEFT JOIN found f USING (doc_id) GROUP BY ALL""")
 def recall_backtest(spark, sf):
-    truth = table(spark, sf, "labels").filter("doc_id % 3 = 0")
+    truth = table(spark, sf, "labels").filter("toxic = 0")
     found = table(spark, sf, "documents").filter("n_chars > 800").select("doc_id", F.lit(1).alias("hit"))
     per = truth.join(found, "doc_id", "left").groupBy("quality").agg(F.count("*").alias("n"), F.count("hit").alias("refound"))
     return per.withColumn("recall_pct", F.round((F.lit(100) * F.col("refound") / F.col("n")).cast("decimal(12,6)"), 2).cast("double"))

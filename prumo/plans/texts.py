@@ -182,10 +182,10 @@ def watchlist_join(spark, sf):
 
 
 @query("""SELECT s_suppkey, CASE WHEN n_code.n_nationkey IS NOT NULL THEN n_code.v ELSE n_name.v END AS v FROM supplier
-LEFT JOIN (SELECT n_nationkey, nullif(n_regionkey, 2) AS v FROM nation WHERE n_nationkey % 3 <> 0) n_code ON s_nationkey = n_code.n_nationkey
-LEFT JOIN (SELECT n_name, arg_min(nullif(n_regionkey, 2), n_nationkey) AS v FROM nation WHERE n_nationkey % 3 <> 0 AND nullif(n_regionkey, 2) IS NOT NULL GROUP BY ALL) n_name ON 'NATION_' || (s_nationkey + 1) = n_name.n_name""")
+LEFT JOIN (SELECT n_nationkey, nullif(n_regionkey, 2) AS v FROM nation WHERE n_regionkey <> 1) n_code ON s_nationkey = n_code.n_nationkey
+LEFT JOIN (SELECT n_name, arg_min(nullif(n_regionkey, 2), n_nationkey) AS v FROM nation WHERE n_regionkey <> 1 AND nullif(n_regionkey, 2) IS NOT NULL GROUP BY ALL) n_name ON 'NATION_' || (s_nationkey + 1) = n_name.n_name""")
 def code_then_name(spark, sf):
-    right = table(spark, sf, "nation").filter("n_nationkey % 3 <> 0").select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("label"), F.nullif("n_regionkey", F.lit(2)).alias("v"))
+    right = table(spark, sf, "nation").filter("n_regionkey <> 1").select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("label"), F.nullif("n_regionkey", F.lit(2)).alias("v"))
     left = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("code"), F.concat(F.lit("NATION_"), F.col("s_nationkey") + 1).alias("label"))
     return resolve.code_then_name(left, right, "code", "label", "v").select("s_suppkey", "v")
 
