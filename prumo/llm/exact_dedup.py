@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prumo.llm.common import SPACES, materialize
+from prumo.llm.common import SPACES, frugal, materialize
 
 #: Fingerprints are polynomials over 2-byte digits modulo this prime, at four fixed points.
 PRIME = (1 << 31) - 1
@@ -69,70 +69,79 @@ def _bytes(col: pa.Array) -> list[bytes]:
 def _measure(points: int):
     def run(batches):
         for batch in batches:
-            prints, sizes, shas = [], [], []
+            keys, shas = [], []
             for raw in _bytes(batch.column(1)):
                 data = normalise(raw)
-                fp = fingerprint(data)[:points]
-                prints.append(b"".join(v.to_bytes(4, "big") for v in fp))
-                sizes.append(len(data))
+                keys.append(_key(data, points))
                 shas.append(hashlib.sha256(data).hexdigest())
             chars = pc.fill_null(pc.utf8_length(batch.column(1)), 0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), chars, pa.array(prints, pa.binary()), pa.array(sizes, pa.int64()), pa.array(shas, pa.string())], ["doc_id", "chars", "print", "bytes", "text_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), chars, pa.array(keys, pa.binary()), pa.array(shas, pa.string())], ["doc_id", "chars", "key", "text_sha256"])
 
-    return run
+    return frugal(run)
 
 
-def _chunks(batches):
-    """Normalised texts as rows of at most CHUNK bytes."""
-    for batch in batches:
-        ids, parts, data = [], [], []
-        for k, raw in enumerate(_bytes(batch.column("text"))):
-            text = normalise(raw)
-            for c in range(0, len(text), CHUNK):
-                ids.append(k)
-                parts.append(c // CHUNK)
-                data.append(text[c : c + CHUNK])
-        took = [batch.column(c).take(pa.array(ids, pa.int64())) for c in ("doc_id", "group", "leader")]
-        yield pa.RecordBatch.from_arrays([*took, pa.array(parts, pa.int64()), pa.array(data, pa.binary())], ["doc_id", "group", "leader", "part", "data"])
+def _key(data: bytes, points: int) -> bytes:
+    """What texts of a group share: fingerprint and length."""
+    return b"".join(v.to_bytes(4, "big") for v in fingerprint(data)[:points]) + str(len(data)).encode()
+
+
+def _chunks(points: int):
+    """Normalised texts as rows of at most CHUNK bytes; only of rows whose text is the one that the key stands for."""
+
+    def run(batches):
+        for batch in batches:
+            ids, parts, data = [], [], []
+            for k, (raw, key) in enumerate(zip(_bytes(batch.column("text")), batch.column("key").to_pylist(), strict=True)):
+                text = normalise(raw)
+                if _key(text, points) == key:
+                    for c in range(0, len(text), CHUNK):
+                        ids.append(k)
+                        parts.append(c // CHUNK)
+                        data.append(text[c : c + CHUNK])
+            took = [batch.column(c).take(pa.array(ids, pa.int64())) for c in ("doc_id", "key", "group", "leader")]
+            yield pa.RecordBatch.from_arrays([*took, pa.array(parts, pa.int64()), pa.array(data, pa.binary())], ["doc_id", "key", "group", "leader", "part", "data"])
+
+    return frugal(run)
 
 
 def dedup(docs: DataFrame, points: int = len(POINTS)) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256, chars for every row of docs (doc_id, text and any others).
 
     Texts of equal length and fingerprint form a group. Every member but the smallest doc_id (the leader) is compared
-    with the leader chunk by chunk: chunk rows meet in a join on (leader, part), so no text is gathered whole and a group
-    with a third of all rows is a skewed join that Spark splits. Rows that differ (a fingerprint collision) form a group
-    again without the others, round by round, until all agree. Of equal texts, the one with most code points stays, then
-    the smallest doc_id. Null text counts as empty; all empty texts are equal. Rows with a null doc_id are groups of
-    their own with null keep_id, kept. Rows that repeat a doc_id must repeat its text; they are all kept or all dropped.
-    An empty table gives no rows. points: how many of the fingerprint's values to use (fewer only in tests).
+    with the leader chunk by chunk: chunk rows meet in a join on (leader, key, part), so no text is gathered whole and a group
+    with a third of all rows is a skewed join that Spark splits (spark.sql.adaptive.skewJoin, on by default). Rows that differ
+    (a fingerprint collision) form a group again without the others, round by round, until all agree. Of equal texts, the one
+    with most code points stays, then the smallest doc_id. Null text counts as empty; all empty texts are equal. A very long
+    text is hashed and compared in chunks. Rows with a null doc_id are groups of their own with null keep_id, kept. Rows that
+    repeat a doc_id are each judged by their own text, so that one doc_id may be in several groups; those that repeat the text
+    as well are all kept or all dropped (texts of one doc_id with one fingerprint are taken as equal, 2**-124). Chunks of one row are hashed one after another by the task that reads it. An empty
+    table gives no rows. points: how many of the fingerprint's values to use (fewer only in tests).
     """
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    facts = materialize(table.mapInArrow(_measure(points), "doc_id long, chars long, print binary, bytes long, text_sha256 string"), "prints")
+    facts = materialize(table.mapInArrow(_measure(points), "doc_id long, chars long, key binary, text_sha256 string"), "prints")
     known = facts.filter("doc_id is not null")
-    keyed = known.withColumn("key", F.concat(F.col("print"), F.col("bytes").cast("string").cast("binary"))).select("doc_id", "key")
     settled = None
-    left = keyed
+    left = known.select("doc_id", "key")
     while True:
         leaders = left.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
         grouped = left.join(leaders, "key", "left").select("doc_id", "key", F.coalesce("leader", "doc_id").alias("leader"), F.col("leader").isNotNull().alias("shared"))
         shared = grouped.filter("shared")
         # The chunks of members and of leaders, from one pass over the texts.
-        texts = table.join(shared.select("doc_id", F.col("leader").alias("group"), (F.col("doc_id") == F.col("leader")).alias("leader")).dropDuplicates(["doc_id"]).hint("shuffle_hash"), "doc_id")
-        rows = texts.mapInArrow(_chunks, "doc_id long, group long, leader boolean, part long, data binary")
-        first = rows.filter("leader").select("group", "part", F.col("data").alias("own")).dropDuplicates(["group", "part"])
-        odd = rows.filter("not leader").join(first, ["group", "part"]).filter("data <> own").select("doc_id").distinct()
-        judged = materialize(grouped.join(odd.withColumn("odd", F.lit(True)), "doc_id", "left").select("doc_id", "key", "leader", F.coalesce("odd", F.lit(False)).alias("odd")), "judged")
-        fine = judged.filter("not odd").select("doc_id", "leader")
+        texts = table.join(shared.select("doc_id", "key", F.col("leader").alias("group"), (F.col("doc_id") == F.col("leader")).alias("leader")).dropDuplicates(["doc_id", "key"]).hint("shuffle_hash"), "doc_id")
+        rows = texts.mapInArrow(_chunks(points), "doc_id long, key binary, group long, leader boolean, part long, data binary")
+        first = rows.filter("leader").select("group", "key", "part", F.col("data").alias("own")).dropDuplicates(["group", "key", "part"])
+        odd = rows.filter("not leader").join(first, ["group", "key", "part"]).filter("data <> own").select("doc_id", "key").distinct()
+        judged = materialize(grouped.join(odd.withColumn("odd", F.lit(True)), ["doc_id", "key"], "left").select("doc_id", "key", "leader", F.coalesce("odd", F.lit(False)).alias("odd")), "judged")
+        fine = judged.filter("not odd").select("doc_id", "key", "leader")
         settled = fine if settled is None else settled.union(fine)
         left = judged.filter("odd").select("doc_id", "key")
         if left.isEmpty():
             break
-    settled = settled.dropDuplicates(["doc_id"])
-    members = materialize(known.join(settled, "doc_id"), "members")
-    sizes = members.groupBy("leader").agg(F.min_by("doc_id", F.struct(-F.col("chars"), F.col("doc_id"))).alias("keep_id"), F.count("*").alias("group_size"))
+    settled = settled.dropDuplicates(["doc_id", "key"])
+    members = materialize(known.join(settled, ["doc_id", "key"]), "members")
+    sizes = members.groupBy("leader", "key").agg(F.min_by("doc_id", F.struct(-F.col("chars"), F.col("doc_id"))).alias("keep_id"), F.count("*").alias("group_size"))
     sizes = materialize(sizes, "kept")  # on its own, so that Spark can split the join below at a very large group
-    out = members.join(sizes, "leader").select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256", "chars")
+    out = members.join(sizes, ["leader", "key"]).select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256", "chars")
     alone = facts.filter("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", "chars")
     return out.union(alone)
 

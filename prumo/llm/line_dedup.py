@@ -79,11 +79,18 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) ->
     Lines are exploded inside tasks to 128-bit hashes of their keys, counted per batch and then by Spark, so that a line
     of every document arrives once for each batch. Hashes of at least least_docs documents are joined back to the
     documents that hold them; there the lines go, except in the largest doc_id, and the rest keep their places.
-    Null or empty text: one empty line, kept. A null doc_id counts for nothing and its text stays whole. Rows that
-    repeat a doc_id count as one document each. Ties do not arise, as doc_id decides. An empty table gives no rows.
+    Null or empty text: one empty line, kept. A very long text is split by the task that reads it. A null doc_id counts for
+    nothing and its text stays whole. Rows that repeat a doc_id are one document: a line counts once for them, and the keeper
+    keeps it in all its rows; such rows are found first and counted as distinct (line, document) pairs. Ties do not arise, as
+    doc_id decides. An empty table gives no rows.
     """
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    hot = table.mapInArrow(_count(least_chars), "hash binary, n long, keeper long").groupBy("hash").agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper")).filter(F.col("n") >= least_docs)
+    several = materialize(table.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1").select("doc_id"), "several")
+    once, again = (table, None) if several.isEmpty() else (table.join(several, "doc_id", "left_anti"), table.join(several, "doc_id", "left_semi"))
+    counts = once.mapInArrow(_count(least_chars), "hash binary, n long, keeper long")
+    if again is not None:
+        counts = counts.union(again.mapInArrow(_where(least_chars), "hash binary, doc_id long").distinct().select("hash", F.lit(1).cast("long"), "doc_id"))
+    hot = counts.groupBy("hash").agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper")).filter(F.col("n") >= least_docs)
     hot = materialize(hot, "lines")  # on its own, so that Spark can split the join below at a line that very many have
     held = table.mapInArrow(_where(least_chars), "hash binary, doc_id long")
     drops = held.join(hot, "hash").filter("doc_id < keeper").groupBy("doc_id").agg(F.collect_set("hash").alias("drops"))
@@ -95,13 +102,13 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 SQL = r"""
-WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM split),
+WITH split AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT row, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM split),
 keyed AS (
   SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
 hot AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
 judged AS (SELECT d.*, h.k IS NOT NULL AND d.doc_id <> h.keeper AS gone FROM keyed d LEFT JOIN hot h ON d.k = h.k)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM judged GROUP BY doc_id
+FROM judged GROUP BY row, doc_id
 """

@@ -90,3 +90,22 @@ def test_mixing_meets_its_targets(spark):
     assert sum(len((r.text or "").split()) for r in mixed.collect()) == sum(r.taken for r in plan)
     assert sorted(map(repr, mixed.collect())) == sorted(map(repr, mixing.mix(docs.repartition(2)).collect()))
     assert mixing.mix(docs.limit(0)).collect() == []
+
+
+def test_exact_dedup_of_one_id_with_several_texts(spark):
+    rows = [(1, "aa"), (1, "bb"), (2, "aa"), (3, "b b"), (3, "cc")]
+    want = [(1, 1, 2, True), (1, 3, 2, False), (2, 1, 2, False), (3, 3, 2, True), (3, 3, 1, True)]
+    got = exact_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert collected(got, "doc_id", "keep_id", "group_size", "kept") == sorted(want, key=repr)
+
+
+def test_line_dedup_counts_documents_not_rows(spark):
+    duckdb = __import__("duckdb")
+    line = "forty characters and a few more are in here"
+    for rows in ([(7, line)] * 5 + [(8, line)], [(7, line)] * 2 + [(k, f"{k}\n{line}\n{line}") for k in range(4)] + [(7, f"x\n{line}")]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        con = duckdb.connect()
+        con.execute("create table documents (doc_id bigint, text varchar)")
+        con.executemany("insert into documents values (?, ?)", rows)
+        want = sorted(con.sql(line_dedup.SQL).select("doc_id, n_lines, n_dropped, kept_sha256").fetchall(), key=repr)
+        assert collected(line_dedup.digest(docs), "doc_id", "n_lines", "n_dropped", "kept_sha256") == want
