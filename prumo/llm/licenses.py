@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
 import numpy as np
@@ -103,11 +104,16 @@ OTHERS = (
     "A public version of the report is available under the bridge.", "The apache helicopter landed near the creative commons.",
     "Students at mit released a general study.", "Fishing license fees are due in the first week.", "All rights of the public were reserved.",
     "International attribution of the work is under review.", "The mozilla browser and the eclipse were seen.",
-    "Copyright law is a matter of general interest.", "See the manual for details.", "This work is under way.", "Released in version 2.0 of the catalogue.",
+    "We joined MIT. Copyright (c) the authors.", "Copyright (c) the authors.", "Copyright 2020 Example Inc. All rights reserved.", "She studied at MIT and wrote for BSD systems.",
+    "The ISC met in May.", "CC the team on it.", "GNU and Apache were discussed.", "This license is not ours.", "Permission was granted free of charge.", "Copyright law is a matter of general interest.", "See the manual for details.", "This work is under way.", "Released in version 2.0 of the catalogue.",
 )
+#: Altered copies of each body paragraph among the examples.
+BODY_COPIES = 12
 MADE_UP = ("Foxglove", "Harbour", "Blue River", "Northern", "Example", "Acme Internal", "Company", "Custom", "Private")
 #: Documents whose paragraphs serve as examples of no licence at most, first by md5(doc_id).
 NEGATIVE_DOCS = 200
+#: Longest text among them, so that what the driver gets is bounded.
+NEGATIVE_BYTES = 1 << 16
 BUCKETS = 1 << 20
 LEAST_PROBABILITY = 0.5
 #: Part of a notice's word pairs that a paragraph must have to be confirmed.
@@ -179,7 +185,7 @@ def notices(rng: np.random.Generator) -> tuple[list[str], list[int]]:
         for body in BODIES.get(family, ()):
             words = body.split()
             add(body, y)
-            for _ in range(6):
+            for _ in range(BODY_COPIES):
                 beside = rng.choice(fill, rng.integers(0, 12)).tolist()
                 kept = [w for w in words if rng.random() > 0.08]
                 add(" ".join(beside + kept if rng.random() < 0.5 else kept + beside), y)
@@ -204,25 +210,35 @@ def fit(negatives: list[str], rounds: int = 200, l1: float = 2e-4, seed: int = 5
     p = paragraphs(pa.array([t.replace("\n", " ") for t in texts]))
     row, feature = grams(p)
     hit = number[feature] >= 0
-    x = np.zeros((len(texts), len(known)), np.float32)
-    x[p.doc[row[hit]], number[feature[hit]]] = 1
+    row, feature = p.doc[row[hit]], number[feature[hit]].astype(np.int64)
+    row, feature = np.divmod(np.unique(row * len(known) + feature), len(known))  # each n-gram counts once
     hold = rng.random(len(texts)) < 0.2
     n_classes = len(FAMILIES) + 1
-    one = np.eye(n_classes, dtype=np.float32)[y]
-    weights, bias = np.zeros((len(known), n_classes), np.float32), np.zeros(n_classes, np.float32)
+    weights, bias = np.zeros((len(known), n_classes)), np.zeros(n_classes)
     ahead, ahead_b, t, rate = weights, bias, 1.0, 0.5
     # equal examples are one with a weight
-    _, at, which = np.unique([hash((r.tobytes(), int(c))) for r, c in zip(np.packbits(x[~hold] > 0, axis=1), y[~hold], strict=True)], return_index=True, return_inverse=True)
-    a, o, times = x[~hold][at], one[~hold][at], np.bincount(which).astype(np.float32)[:, None] / len(which)
+    cuts = np.searchsorted(row, np.arange(len(texts) + 1))
+    same: dict[tuple[bytes, int], int] = {}
+    for i in np.flatnonzero(~hold).tolist():
+        key = feature[cuts[i] : cuts[i + 1]].tobytes(), int(y[i])
+        same[key] = same.get(key, 0) + 1
+    lists = [np.frombuffer(f, np.int64) for f, _ in same]
+    own, at = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(f) for f in lists])
+    one = np.eye(n_classes)[[c for _, c in same]]
+    times = np.array(list(same.values()))[:, None] / sum(same.values())
+
+    def added(where: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+        return np.stack([np.bincount(where, weights=values[:, c], minlength=n) for c in range(n_classes)], axis=1)
+
     for _ in range(rounds):
-        d = (_softmax(a @ ahead + ahead_b) - o) * times
-        new = ahead - rate * (a.T @ d)
+        d = (_softmax(added(at, ahead[own], len(lists)) + ahead_b) - one) * times
+        new = ahead - rate * added(own, d[at], len(known))
         new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
         new_b = ahead_b - rate * d.sum(axis=0)
         step = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead, ahead_b = new + (t - 1) / step * (new - weights), new_b + (t - 1) / step * (new_b - bias)
         weights, bias, t = new, new_b, step
-    raw = x[hold] @ weights + bias
+    raw = added(row, weights[feature], len(texts))[hold] + bias
     loss = lambda temp: -np.log(_softmax(raw / temp)[np.arange(len(raw)), y[hold]] + 1e-12).mean()
     used = np.flatnonzero(np.abs(weights).sum(axis=1) > 0)
     number = np.full(BUCKETS, -1, np.int32)
@@ -230,6 +246,28 @@ def fit(negatives: list[str], rounds: int = 200, l1: float = 2e-4, seed: int = 5
     return Model(number, weights[used], bias, min(np.geomspace(0.1, 4, 25), key=loss))
 
 
+#: Models of this process by a hash of their negative examples: the same sample gives the same model.
+_FITTED: dict[str, Model] = {}
+
+
+def negatives(texts: list[str | None]) -> list[str]:
+    """Lines of texts that serve as examples of no licence: those without the words of notices, of whose word pairs at most
+    three tenths are in some notice or body paragraph."""
+    lines = [line for t in texts for line in (t or "").split("\n") if line.split() and not any(w in line.lower() for w in ("licen", "copyright", "spdx", "cc by", "cc0"))]
+    known = set().union(*(t.pairs for own in templates() for t in own))
+    p = paragraphs(pa.array(lines, pa.string()))
+    sure = {int(d) for d, a, b in zip(p.doc, p.offsets[:-1], p.offsets[1:], strict=True) if 10 * len((own := _pairs(p.codes[a:b])) & known) <= 3 * len(own)}
+    return [line for d, line in enumerate(lines) if d in sure]
+
+
+def fitted(negatives: list[str]) -> Model:
+    key = hashlib.md5("\n".join(negatives).encode()).hexdigest()
+    if key not in _FITTED:
+        _FITTED.clear()
+        _FITTED[key] = fit(negatives)
+    return _FITTED[key]
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -239,12 +277,27 @@ def _pairs(codes: np.ndarray) -> set[int]:
     return set(windows(codes, 2).tolist()) or set(codes.tolist())
 
 
-def templates() -> list[list[set[int]]]:
-    """Word pairs of each family's notices and body paragraphs, by class."""
-    out: list[list[set[int]]] = [[]]
+class Notice(NamedTuple):
+    """Word pairs of a notice or body paragraph, and those that name the family: within its name, and from the word before."""
+
+    pairs: set[int]
+    must: set[int]
+
+
+def templates() -> list[list[Notice]]:
+    """Notices and body paragraphs of each family, by class."""
+    count = lambda text: len(paragraphs(pa.array([text])).codes)
+    out: list[list[Notice]] = [[]]
     for family, names in FAMILIES.items():
-        p = paragraphs(pa.array([*(pattern.format(n) for n in names for pattern in PATTERNS), *BODIES.get(family, ())]))
-        out.append([_pairs(p.codes[a:b]) for a, b in zip(p.offsets[:-1], p.offsets[1:], strict=True)])
+        own = []
+        for name in names:
+            for pattern in PATTERNS:
+                codes = paragraphs(pa.array([pattern.format(name)])).codes
+                before = count(pattern.split("{}")[0])
+                own.append(Notice(_pairs(codes), set(windows(codes, 2)[max(0, before - 1) : before + count(name) - 1].tolist())))
+        p = paragraphs(pa.array(BODIES.get(family, ()), pa.string()))
+        own += [Notice(_pairs(p.codes[a:b]), set()) for a, b in zip(p.offsets[:-1], p.offsets[1:], strict=True)] if len(p.codes) else []
+        out.append(own)
     return out
 
 
@@ -320,7 +373,7 @@ def _scan(shared):
                         if least and any(c < b and d > a and (d - c > 1 or f == names[y]) for f, c, d in covered.get(doc, [])):
                             continue  # a line has it already, or more lines say more
                         pairs = _pairs(p.codes[p.offsets[a] : p.offsets[b]])
-                        if any(len(t) >= least and len(t & pairs) >= LEAST_SHARED * len(t) for t in known[y]):
+                        if any(len(t.pairs) >= least and t.must <= pairs and len(t.pairs & pairs) >= LEAST_SHARED * len(t.pairs) for t in known[y]):
                             found.setdefault(doc, []).append((names[y], a - int(first[doc]), share))
                             covered.setdefault(doc, []).append((names[y], a, b))
                             doubted.get(doc, set()).difference_update(range(a, b))
@@ -355,15 +408,16 @@ def scan(docs: DataFrame, negative_docs: int = NEGATIVE_DOCS) -> DataFrame:
     or a
     paragraph of its licence text confirms, by the share of its word pairs; families: theirs, sorted; paragraphs: their places among the text's
     paragraphs; probability: the highest; n_unconfirmed: likely ones that no notice confirms. The model is fitted on made
-    notices, on licence texts and on paragraphs of at most negative_docs documents without the word 'licen'.
-    Null or empty texts have no paragraphs. A null doc_id and repeated rows are rows like others. Equal scores go to the
+    notices, on licence texts, on sentences with the same words that name no family, and on all paragraphs of at most
+    negative_docs documents of at most NEGATIVE_BYTES that don't speak of licences; it is fitted once for a sample in a process.
+    A very long text is scanned whole, all its paragraphs by one task. Null or empty texts have no paragraphs. A null doc_id and repeated rows are rows like others. Equal scores go to the
     family first in the alphabet. An empty table gives no rows.
     """
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chosen = table.select("doc_id").dropna().distinct().orderBy(F.md5(F.col("doc_id").cast("string"))).limit(negative_docs)
-    sample = table.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").select("text").toArrow()
-    lines = [line for t in sample.column("text").to_pylist() for line in (t or "").split("\n") if line.split() and not any(w in line.lower() for w in ("licen", "copyright", "spdx", "cc by", "cc0"))]
-    model = fit(lines[: 20 * negative_docs])
+    able = table.filter(F.col("doc_id").isNotNull() & (F.coalesce(F.octet_length("text"), F.lit(0)) <= NEGATIVE_BYTES))
+    chosen = able.select("doc_id").distinct().orderBy(F.md5(F.col("doc_id").cast("string"))).limit(negative_docs)
+    sample = able.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").select("text").toArrow()
+    model = fitted(negatives(sample.column("text").to_pylist()))
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
     return table.mapInArrow(frugal(_scan(shared)), _OUT)
 

@@ -58,3 +58,25 @@ def test_licence_bodies_and_wrapped_notices(spark):
     docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id long, text string")
     got = {r.doc_id: (r.families, r.n_licensed) for r in L.scan(docs).collect()}
     assert got == {k: ([f] if f else [], int(bool(f))) for k, (f, _) in enumerate(texts)}
+
+
+def test_names_alone_are_no_notices(spark):
+    texts = ["We joined MIT. Copyright (c) the authors.", "Copyright (c) the authors.", "She studied at MIT.", "Copyright (c) the authors. MIT.", "The ISC met in May."]
+    got = {r.doc_id: r.families for r in L.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: [], 1: [], 2: [], 3: ["MIT"], 4: []}
+
+
+def test_recall_on_changed_paragraphs(spark):
+    """Body paragraphs of every family with words missing and others around, which the model wasn't fitted on."""
+    rng, texts = np.random.default_rng(77), []
+    for family, bodies in L.BODIES.items():
+        for body in bodies:
+            for _ in range(4):
+                words = [w for w in body.split() if rng.random() > 0.04]
+                texts.append((family, " ".join(["see", "below", *words, "end", "of", "part"])))
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.families for r in L.scan(docs).collect()}
+    per: dict[str, list[bool]] = {}
+    for k, (family, _) in enumerate(texts):
+        per.setdefault(family, []).append(family in got[k])
+    assert {f: sum(v) / len(v) for f, v in per.items() if sum(v) < 0.9 * len(v)} == {}
