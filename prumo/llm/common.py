@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Characters that separate words: space and \t \n \v \f \r.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -91,9 +92,20 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def buckets(spark: SparkSession, factor: int = 1) -> int:
-    """Number of hash buckets for packed shuffles; follows the session's shuffle partitions, which follow the data."""
-    return max(8, factor * int(spark.conf.get("spark.sql.shuffle.partitions")))
+#: Bytes of text whose words or windows one hash bucket takes on average; a bucket is worked on as a whole by one task.
+BUCKET_TEXT = 16 << 20
+
+
+def buckets(spark: SparkSession) -> int:
+    """Number of buckets that keeps all tasks of the session busy."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def text_buckets(table: DataFrame) -> int:
+    """Number of hash buckets for what the texts of a table ask: by their bytes, which one cheap pass adds up, so that a bucket's
+    size doesn't depend on the session's settings; and as many as keep all tasks busy."""
+    total = table.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    return max(buckets(table.sparkSession), -(-total // BUCKET_TEXT))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -244,7 +244,8 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, pass_window
     as their texts have them, another also those with a first token read otherwise. Its slots are consistent when item
     values and document values map one to one; verbatim when they are equal, too. Where a slot at an item's edge has
     more or fewer words in the document, since like slots may stand beside it there, the value is the item's if the document's
-    begins or ends with it, and is left out of this otherwise.
+    begins or ends with it, and is left out of this otherwise. A very long text is one document like others; windows of it are
+    found slice by slice of rows, never across rows.
     """
     spark = docs.sparkSession
     known = items.select(F.col("item_id").cast("long").alias("id"), "text").filter("id is not null").mapInArrow(frugal(_item_windows(window)), _HIT)
@@ -298,7 +299,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, pass_
 
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of docs that hold no window of an item."""
+    """The rows of docs that hold no window of an item, with all their columns. Null and empty texts and rows with a null doc_id
+    stay; rows that repeat a doc_id go if any of them holds a window. An empty table gives no rows, an empty benchmark keeps all."""
     own = fresh(docs, "_found")
     found = matches(docs, items).filter("consistent").select(F.col("doc_id").alias(own)).distinct()
     return docs.join(found, F.col("doc_id") == F.col(own), "left_anti")

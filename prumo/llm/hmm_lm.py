@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prumo.llm.common import U64, ask, buckets, chunks, frugal, hash_words, materialize, slices
+from prumo.llm.common import U64, ask, buckets, chunks, frugal, hash_words, materialize, slices, text_buckets
 
 STATES = 8
 #: Classes that words fall into by their hash, and that share emissions while the states are trained; the last round parts them.
@@ -424,7 +424,7 @@ def score(docs: DataFrame, states: int = STATES, sample_docs: int = SAMPLE_DOCS,
     """
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model, _ = train(table, states, rounds, sample_docs)
-    n_buckets = buckets(docs.sparkSession)
+    n_buckets = text_buckets(table)
     held = materialize(table.mapInArrow(frugal(_encode), "chunk long, docs array<long>, offsets array<long>, codes binary, words binary"), "chunks")
     shared = docs.sparkSession.sparkContext.broadcast((tied_emissions(model), model.chain))
     asks = held.mapInArrow(_asks(shared, n_buckets), "chunk long, bucket int, n int, blob binary, moves array<double>")

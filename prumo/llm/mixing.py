@@ -100,7 +100,9 @@ def plan(sized: DataFrame, weights=(5, 2, 1), cap: int = 3, seed: int = 0, salts
 
 
 def mix(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, seed: int = 0) -> DataFrame:
-    """The mixed corpus: rows of `docs`, each as many times as the plan says, with the columns of `docs`."""
+    """The mixed corpus: rows of `docs`, each as many times as the plan says, with the columns of `docs`. Null texts have size 0
+    and are sampled like others, as are null sources and ids and repeated rows; a very long text counts as one document of
+    its size. An empty table gives no rows."""
     out = docs.columns
     tie = F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind))
     kept = docs.select(F.struct(*(F.col(f"`{c}`") for c in out)).alias("_row"), "doc_id", "source", words(F.col("text")).alias("size"), tie.alias("_tie"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from prumo.llm.common import U64, ask, buckets, chunks, discard, fresh, frugal, hash_words, materialize, mix64, pack, slices, unpack, windows
+from prumo.llm.common import U64, ask, chunks, discard, fresh, frugal, hash_words, materialize, mix64, pack, slices, text_buckets, unpack, windows
 from prumo.llm.graph import components, local_forest, packed, to_blob
 
 #: Widths of the size classes that share a number of segments.
@@ -311,7 +311,8 @@ def _verify(k: int, num: int, den: int):
     """Links within each (cand, block) of the table, found by a prefix tree."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks().sort_by([("cand", "ascending"), ("block", "ascending"), ("doc_id", "ascending")])
+        table = table.set_column(table.schema.get_field_index("text"), "text", table.column("text").cast(pa.large_string()))  # groups of over 2 GB
+        table = table.sort_by([("cand", "ascending"), ("block", "ascending"), ("doc_id", "ascending")])
         ids, cand, block, query = (table.column(c).to_numpy() for c in ("doc_id", "cand", "block", "query"))
         out: list[tuple[int, int]] = []
         sets: list[np.ndarray] = []
@@ -355,10 +356,14 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, block:
     4. Components of all links, with equal sets taken together.
     Words are lower-cased (A-Z) and split at ASCII white space. A text with fewer than k words is one shingle; without
     words (null, empty) the set is empty and linked with nothing. A null doc_id gives a null component_id. doc_id is a key;
-    rows that repeat one are each returned, and their texts count as linked. An empty table gives no rows.
+    rows that repeat one are each returned, and their texts count as linked. A very long text is one set like others. An empty
+    table gives no rows. Links themselves are not returned: a prefix tree leaves out sets that are in the query's component
+    already, so each component is spanned, and what is exact is which documents are connected.
+    N-grams are told apart by 64-bit hashes (two of n distinct ones are taken for one in about n**2 / 2**65 cases, which changes
+    an intersection by one), equal sets by 128 bits.
     """
-    n_buckets = buckets(docs.sparkSession)
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    n_buckets = text_buckets(table)
     scan = materialize(table.mapInArrow(frugal(_scan(k, num, den, n_buckets)), _SCAN), "signatures")
     facts = scan.filter("bucket = -1").select("doc_id", "n", "p1", "p2")
     leads = facts.filter("n > 0 and doc_id is not null").groupBy("n", "p1", "p2").agg(F.min("doc_id").alias("lead"))
@@ -444,7 +449,11 @@ def _settle(links: DataFrame, large: DataFrame, verify, block: int) -> DataFrame
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """The rows of docs that come first (smallest doc_id) in their component; rows with a null doc_id stay."""
+    """The rows of docs that come first (smallest doc_id) in their component, with all their columns.
+
+    Texts without words, null ones among them, and rows with a null doc_id stay. Rows that repeat the smallest doc_id of a
+    component all stay. An empty table gives no rows.
+    """
     stays = jaccard_join(docs, k, num, den).filter("doc_id = component_id").select("doc_id").distinct()
     own = fresh(docs, "_stays")
     first = docs.join(stays.withColumnRenamed("doc_id", own), F.col("doc_id") == F.col(own), "left_semi")

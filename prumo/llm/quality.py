@@ -165,10 +165,12 @@ def _featurise(batches):
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fits the model on sample_rows labelled documents at most, none of them held out. Inputs of a score are the text and
-    its length only. Rows with a null doc_id or label are left out; of rows that repeat a doc_id one counts."""
+    its length only. Rows with a null doc_id or label are left out; of labels that repeat a doc_id the smallest counts, of
+    texts the one with the least hash, so that reruns agree."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).dropna().filter(~held_out(F.col("doc_id")))
-    sample = known.orderBy(F.md5(F.col("doc_id").cast("string")), "label").limit(sample_rows).dropDuplicates(["doc_id"])
-    rows = _columns(docs).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id")
+    sample = known.groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(F.md5(F.col("doc_id").cast("string"))).limit(sample_rows)
+    found = _columns(docs).join(F.broadcast(sample), "doc_id")
+    rows = found.groupBy("doc_id", "label").agg(F.min_by(F.struct("text", "n_chars"), F.struct(F.xxhash64("text"), "n_chars")).alias("_t")).select("doc_id", "label", "_t.text", "_t.n_chars").orderBy("doc_id")
     got = rows.mapInArrow(frugal(_featurise), "label int, feature array<int>, value array<double>").toArrow().combine_chunks()
     if not got.num_rows:
         return Model(0.0, np.zeros(SIZE), np.zeros((SIZE, RANK)))
@@ -203,7 +205,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of docs that score `least` or more."""
+    """The rows of docs that score `least` or more, with all their columns. Null and empty texts are scored by the intercept and
+    their statistics, a null doc_id and repeated rows like any others. Without usable labels every row scores 0.5 and stays. An
+    empty table gives no rows."""
     own = fresh(docs, "_score")
     return score(docs, train(docs, labels), own).filter(F.col(own) >= least).drop(own)
 

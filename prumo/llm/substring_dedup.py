@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prumo.llm.common import U64, Words, ask, bucketed, buckets, chunks, frugal, hash_words, materialize, pack, unpack, windows
+from prumo.llm.common import U64, Words, ask, bucketed, chunks, frugal, hash_words, materialize, pack, text_buckets, unpack, windows
 
 #: Bytes of text in a chunk.
 CHUNK = 2 << 20
@@ -197,8 +197,8 @@ def dedup_substrings(docs: DataFrame, length: int = 35, chunk_bytes: int = CHUNK
     is a chunk of its own. A null doc_id and rows that repeat a doc_id are rows like others, and their windows count; equal
     texts thus remove each other. An empty table gives no rows.
     """
-    n_buckets = buckets(docs.sparkSession)
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    n_buckets = text_buckets(table)
     held = bucketed(table.mapInArrow(_first(chunk_bytes), _CHUNKS), "chunk", "chunks")
     state = None
     for k in reversed(range(levels)):
