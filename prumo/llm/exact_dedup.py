@@ -17,6 +17,8 @@ PRIME = (1 << 31) - 1
 POINTS = (1_103_515_245, 1_299_709_457, 742_938_285, 950_706_376)
 #: Bytes hashed on their own; a power of two. Longer texts combine the hashes of their chunks.
 CHUNK = 1 << 16
+#: Texts of more bytes are cut into chunks that many tasks hash side by side.
+HUGE = 4 << 20
 _POWERS: np.ndarray | None = None
 
 
@@ -57,6 +59,45 @@ def fingerprint(data: bytes) -> tuple[int, ...]:
     return total
 
 
+def _hash_chunks(batches):
+    for batch in batches:
+        data = batch.column("data").to_pylist()
+        prints = [np.array(chunk_hash(d), "<u4").tobytes() for d in data]
+        sizes = pa.array([len(d) for d in data], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("text_sha256"), batch.column("part"), sizes, pa.array(prints, pa.binary())], ["text_sha256", "part", "bytes", "print"])
+
+
+def _combine_chunks(points: int):
+    """The key of each text from its chunks' hashes, 24 bytes each, in order."""
+
+    def run(batches):
+        for batch in batches:
+            keys = []
+            for parts in batch.column("parts").to_pylist():
+                total, size = (0,) * len(POINTS), 0
+                for p in sorted(parts, key=lambda p: p["part"]):
+                    own = tuple(np.frombuffer(p["print"], "<u4").tolist())
+                    total = combine(total, own, p["bytes"]) if size else own
+                    size += p["bytes"]
+                keys.append(b"".join(v.to_bytes(4, "big") for v in total[:points]) + str(size).encode())
+            yield pa.RecordBatch.from_arrays([batch.column("text_sha256"), pa.array(keys, pa.binary())], ["text_sha256", "key"])
+
+    return frugal(run)
+
+
+def _measure_huge(table: DataFrame, points: int) -> DataFrame:
+    """What _measure gives, for texts of any length: the JVM cuts the normalised text into chunks, tasks all over hash them, and
+    the hashes of each distinct text, a few bytes for each chunk, are combined by length-shifted arithmetic."""
+    body = F.translate(F.coalesce("text", F.lit("")), SPACES.decode(), "").cast("binary")
+    rows = table.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars"), F.sha2(body, 256).alias("text_sha256"), body.alias("body"))
+    places = F.sequence(F.lit(0), F.greatest(F.ceil(F.length("body") / CHUNK), F.lit(1)).cast("int") - 1)
+    cut = F.transform(places, lambda i: F.struct(i.alias("part"), F.substring(F.col("body"), i * CHUNK + 1, F.lit(CHUNK)).alias("data")))
+    chunks = rows.select("text_sha256", F.explode(cut).alias("c")).select("text_sha256", "c.part", "c.data").repartition("text_sha256", "part")
+    hashed = chunks.mapInArrow(frugal(_hash_chunks), "text_sha256 string, part int, bytes long, print binary").dropDuplicates(["text_sha256", "part"])
+    keys = hashed.groupBy("text_sha256").agg(F.collect_list(F.struct("part", "bytes", "print")).alias("parts")).mapInArrow(_combine_chunks(points), "text_sha256 string, key binary")
+    return rows.drop("body").join(keys, "text_sha256").select("doc_id", "chars", "key", "text_sha256")
+
+
 def normalise(text: bytes) -> bytes:
     """UTF-8 without any byte of the six white-space characters; null is passed as empty."""
     return text.translate(None, SPACES)
@@ -104,7 +145,7 @@ def _chunks(points: int):
     return frugal(run)
 
 
-def dedup(docs: DataFrame, points: int = len(POINTS)) -> DataFrame:
+def dedup(docs: DataFrame, points: int = len(POINTS), huge: int = HUGE) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256, chars for every row of docs (doc_id, text and any others).
 
     Texts of equal length and fingerprint form a group. Every member but the smallest doc_id (the leader) is compared
@@ -112,13 +153,15 @@ def dedup(docs: DataFrame, points: int = len(POINTS)) -> DataFrame:
     with a third of all rows is a skewed join that Spark splits (spark.sql.adaptive.skewJoin, on by default). Rows that differ
     (a fingerprint collision) form a group again without the others, round by round, until all agree. Of equal texts, the one
     with most code points stays, then the smallest doc_id. Null text counts as empty; all empty texts are equal. A very long
-    text is hashed and compared in chunks. Rows with a null doc_id are groups of their own with null keep_id, kept. Rows that
+    text (over `huge` bytes) is cut into chunks that are hashed by many tasks and combined, and compared in chunks. Rows with a null doc_id are groups of their own with null keep_id, kept. Rows that
     repeat a doc_id are each judged by their own text, so that one doc_id may be in several groups; those that repeat the text
-    as well are all kept or all dropped (texts of one doc_id with one fingerprint are taken as equal, 2**-124). Chunks of one row are hashed one after another by the task that reads it. An empty
+    as well are all kept or all dropped (texts of one doc_id with one fingerprint are taken as equal, 2**-124). An empty
     table gives no rows. points: how many of the fingerprint's values to use (fewer only in tests).
     """
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    facts = materialize(table.mapInArrow(_measure(points), "doc_id long, chars long, key binary, text_sha256 string"), "prints")
+    large = F.coalesce(F.octet_length("text") > huge, F.lit(False))
+    small = table.filter(~large).mapInArrow(_measure(points), "doc_id long, chars long, key binary, text_sha256 string")
+    facts = materialize(small.union(_measure_huge(table.filter(large), points)), "prints")
     known = facts.filter("doc_id is not null")
     settled = None
     left = known.select("doc_id", "key")

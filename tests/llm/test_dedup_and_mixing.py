@@ -109,3 +109,15 @@ def test_line_dedup_counts_documents_not_rows(spark):
         con.executemany("insert into documents values (?, ?)", rows)
         want = sorted(con.sql(line_dedup.SQL).select("doc_id, n_lines, n_dropped, kept_sha256").fetchall(), key=repr)
         assert collected(line_dedup.digest(docs), "doc_id", "n_lines", "n_dropped", "kept_sha256") == want
+
+
+def test_huge_texts_are_hashed_in_parts(spark, monkeypatch):
+    """Texts over the bound, cut into chunks that are hashed apart, get the same rows as in one piece."""
+    rng = random.Random(4)
+    big = "".join(rng.choice("ab cé\n\x0b日") for _ in range(200_000))
+    rows = [(1, big), (2, big.replace(" ", "  ")), (3, big[:-1] + "z"), (4, "a b"), (5, None), (6, " " * 70_000), (2, big.replace(" ", "  ")), (None, big), (7, "ab")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    columns = ("doc_id", "keep_id", "group_size", "kept", "text_sha256", "chars")
+    want = collected(exact_dedup.dedup(docs, huge=1 << 40), *columns)
+    assert collected(exact_dedup.dedup(docs, huge=1), *columns) == want and collected(exact_dedup.dedup(docs, huge=100_000), *columns) == want
+    assert {r[0]: r[1] for r in want if r[0]} == {1: 2, 2: 2, 3: 3, 4: 4, 5: 6, 6: 6, 7: 4}
