@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import functools
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -33,7 +35,10 @@ def scratch_dir(spark: SparkSession) -> str:
         if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
-        base = _SCRATCH.setdefault(app, tempfile.mkdtemp(prefix="prumo-"))
+        if app not in _SCRATCH:
+            _SCRATCH[app] = tempfile.mkdtemp(prefix="prumo-")
+            atexit.register(shutil.rmtree, _SCRATCH[app], ignore_errors=True)
+        base = _SCRATCH[app]
     return base.rstrip("/")
 
 
