@@ -72,3 +72,18 @@ def test_token_ids(steps):
 
 def test_run(spark, steps):
     assert sorted(map(repr, corpus_pipeline.run(spark, SF).collect())) == sorted(map(repr, steps["token_ids"][1].collect()))
+
+
+def test_odd_rows(spark, tmp_path):
+    """Null, empty, long and repeated rows, and columns with names that operators might use, through every stage."""
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(None, None), (None, "a null id with some words in it"), (1, ""), (2, None), (3, "the same words stand here and here again, all of them"), (3, "the same words stand here and here again, all of them"), (4, "the same words stand here and here again, all of them"), (5, long)]
+    names = ["_score", "_stays", "_found", "n", "root", "size", "component_id", "shift"]
+    docs = spark.createDataFrame([(d, t, "en", None if d == 1 else "s", 7, *range(len(names))) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.limit(0), SF).collect() == []
+        assert stage(spark, docs, SF).columns == docs.columns, name
+    assert ids(corpus_pipeline.keep_first(spark, docs, SF)) == {None: 2, 1: 1, 2: 1, 3: 2, 5: 1}
+    assert ids(corpus_pipeline.keep_clean(spark, docs, SF)) == ids(docs)
+    assert set(ids(corpus_pipeline.keep_good(spark, docs, SF))) <= {None, 1, 2, 3, 4, 5}
+    assert sum(ids(corpus_pipeline.encode(spark, docs, SF)).values()) == len(rows) and corpus_pipeline.encode(spark, docs.limit(0), SF).collect() == []
