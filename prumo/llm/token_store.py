@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from prumo.llm.common import _IS_SPACE, chunks, frugal, hash_spans, scratch_dir, slices, text_buffer
+from prumo.llm.common import _IS_SPACE, U64, chunks, frugal, hash_spans, scratch_dir, slices, text_buffer
 
 #: Bytes of text in a shard, about; a longer document is a shard of its own.
 SHARD = 4 << 20
@@ -25,6 +25,71 @@ _SUSPECT = np.array([c in (0xC2, 0xE1, 0xE2, 0xE3, 0x3C) for c in range(256)])
 _PUNCTUATION = np.array([33 <= c < 127 and not chr(c).isalnum() for c in range(256)])
 
 
+class Pool:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.data, self.n = np.zeros(1 << 12, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.n + len(values)
+        if end > len(self.data):
+            self.data = np.concatenate([self.data[: self.n], np.zeros(max(end, 3 * len(self.data) // 2) - self.n, self.data.dtype)])
+        self.data[self.n : end] = values
+        self.n = end
+
+
+class Pieces:
+    """Ids of pieces, found by their hashes and compared by their bytes; about 45 bytes a piece."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.row = np.zeros(0, U64), np.zeros(0, np.int32)  # in ascending order of hashes
+        self.size, self.first, self.blocks = Pool(np.int32), Pool(np.int32), Pool(np.uint64)  # bytes, and where their blocks lie
+        self.at, self.count, self.ids = Pool(np.int32), Pool(np.int32), Pool(np.int32)
+
+    def find(self, hashes: np.ndarray, size: np.ndarray, first: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of pieces (-1: not held), and flags of those whose hash is held for other bytes."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        number = np.where(self.hashes[at] == hashes, self.row[at], -1).astype(np.int64)
+        held = np.flatnonzero(number >= 0)
+        row = number[held]
+        wrong = np.zeros(len(hashes), bool)
+        wrong[held] = self.size.data[row] != size[held]
+        wrong[_unlike(held[~wrong[held]], size, (first, blocks), (number, self.first.data, self.blocks.data))] = True
+        return number, wrong
+
+    def add(self, hashes: np.ndarray, size: np.ndarray, first: np.ndarray, blocks: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
+        rows = self.size.n + np.arange(len(hashes))
+        n = (size + 7) >> 3
+        own = np.cumsum(n) - n
+        self.first.add(self.blocks.n + own)
+        self.blocks.add(blocks[np.repeat(first - own, n) + np.arange(int(n.sum()))])
+        self.size.add(size)
+        self.at.add(self.ids.n + np.cumsum(count) - count)
+        self.count.add(count)
+        self.ids.add(ids)
+        order = np.argsort(hashes)
+        place = np.searchsorted(self.hashes, hashes[order])
+        self.hashes, self.row = np.insert(self.hashes, place, hashes[order]), np.insert(self.row, place, rows[order])
+
+
+def _unlike(which: np.ndarray, size: np.ndarray, mine: tuple, other: tuple) -> np.ndarray:
+    """Of the pieces `which`, of equal size and hash to their counterparts, those of over 8 bytes whose bytes differ (shorter
+    ones of equal size and hash are equal). mine: first block of each piece, blocks; other: counterpart of each piece, first
+    block of each counterpart, blocks."""
+    (first, blocks), (speaks, firsts, others) = mine, other
+    long = which[size[which] > 8]
+    n = (size[long] + 7) >> 3
+    inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    differ = blocks[np.repeat(first[long], n) + inside] != others[np.repeat(firsts[speaks[long]], n) + inside]
+    return np.repeat(long, n)[differ]
+
+
 class Encoder:
     """Encodes many texts with a byte-level BPE tokenizer, each distinct piece once.
 
@@ -32,69 +97,52 @@ class Encoder:
     punctuation after a letter or digit, and at and after a line break that stands alone; merges never cross pieces. So
     texts are cut there, and a piece's ids don't depend on its neighbours. Texts with Unicode white space or with "<|"
     (special tokens) are left to the tokenizer whole.
-    Equal pieces of a call are found by their hashes and then compared byte by byte with the one that speaks for them; a
-    text with a piece that differs is left to the tokenizer whole. Pieces are kept by their bytes, MOST of them at most.
+    Equal pieces are found by their hashes and then compared byte by byte with the one that speaks for them; a text with a
+    piece that differs is left to the tokenizer whole. pieces: those known so far, emptied when there are more than MOST.
     """
 
-    MOST = 400_000
+    MOST = 1_000_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        model = self.tokenizer.model
+        if hasattr(model, "_resize_cache"):  # it only sees pieces that it hasn't seen, so its own cache never helps
+            model._resize_cache(0)
+            self.tokenizer.model = model
+        self.pieces = Pieces()
         vocab = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, number in vocab.items():
             self.width[number] = len(token)  # one character a byte
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.at, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.ids, self.used = np.zeros(1 << 18, np.int32), 0
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        """Adds pieces: those that start with a space are encoded as one text and told apart by their bytes."""
-        spaced = np.array([p[:1] == b" " for p in pieces], bool)
-        joint, sizes = [p for p, own in zip(pieces, spaced.tolist(), strict=True) if own], np.zeros(len(pieces), np.int64)
-        parts = []
-        if joint:
-            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(joint).decode()], add_special_tokens=False)[0].ids, np.int32)
-            ends, cuts = np.cumsum(self.width[ids]), np.cumsum([len(p) for p in joint])
+    def _learn(self, buf: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order of the pieces buf[starts:starts + size], and in it how many ids each has, and these. Pieces that start with
+        a space are encoded as one text and told apart by their bytes."""
+        spaced = buf[starts] == 0x20
+        order = np.r_[np.flatnonzero(spaced), np.flatnonzero(~spaced)]
+        sizes, parts, n = np.zeros(len(starts), np.int64), [], int(spaced.sum())
+        if n:
+            own = size[order[:n]]
+            cuts = np.cumsum(own)
+            joint = buf[np.repeat(starts[order[:n]] - (cuts - own), own) + np.arange(int(cuts[-1]))].tobytes().decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([joint], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.cumsum(self.width[ids])
             places = np.searchsorted(ends, cuts)
             if places[-1] >= len(ends) or (ends[places] != cuts).any():
                 raise ValueError("the tokenizer doesn't start pieces at spaces")
-            sizes[spaced] = np.diff(places, prepend=-1)
+            sizes[:n] = np.diff(places, prepend=-1)
             parts.append(ids)
-        rest = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p, own in zip(pieces, spaced.tolist(), strict=True) if not own], add_special_tokens=False)]
-        sizes[~spaced] = [len(r) for r in rest]
-        parts += [np.array(r, np.int32) for r in rest]
-        order = np.r_[np.flatnonzero(spaced), np.flatnonzero(~spaced)]
-        n, total = len(self.known), int(sizes.sum())
-        while n + len(pieces) > len(self.at):
-            self.at, self.size = np.resize(self.at, 2 * len(self.at)), np.resize(self.size, 2 * len(self.size))
-        while self.used + total > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.size[n : n + len(pieces)] = sizes[order]
-        self.at[n : n + len(pieces)] = self.used + np.cumsum(sizes[order]) - sizes[order]
-        self.ids[self.used : self.used + total] = np.concatenate(parts)
-        self.used += total
-        self.known.update(zip((pieces[i] for i in order.tolist()), range(n, n + len(pieces)), strict=True))
-
-    @staticmethod
-    def _mark(odd: np.ndarray, bounds: np.ndarray, starts: np.ndarray, size: np.ndarray, blocks: np.ndarray, place: np.ndarray, speaks: np.ndarray) -> None:
-        """Marks texts with a piece whose bytes aren't those of the piece that speaks for it, though their hashes are equal."""
-        wrong = size != size[speaks]
-        long = np.flatnonzero((size > 8) & ~wrong & (speaks != np.arange(len(speaks))))  # shorter ones of equal size and hash are equal
-        count = (size[long] + 7) >> 3
-        inside = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        differ = blocks[np.repeat(place[long], count) + inside] != blocks[np.repeat(place[speaks[long]], count) + inside]
-        wrong[np.repeat(long, count)[differ]] = True
-        odd[np.searchsorted(bounds, starts[wrong], "right") - 1] = True
+        texts = [buf[a : a + k].tobytes().decode() for a, k in zip(starts[order[n:]].tolist(), size[order[n:]].tolist(), strict=True)]
+        rest = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes[n:] = [len(r) for r in rest]
+        parts.append(np.array([i for r in rest for i in r], np.int32))
+        return order, sizes, np.concatenate(parts)
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (each followed by END), and how many each text has. Null counts as empty."""
@@ -119,27 +167,33 @@ class Encoder:
             first[bounds[:-1][filled]] = True
         starts = np.flatnonzero(first)
         ends = np.r_[starts[1:], n] if len(starts) else starts
-        hashes, blocks, place = hash_spans(buf, starts, ends)
+        hashes, blocks, first = hash_spans(buf, starts, ends)
+        size = ends - starts
         which, keys = pd.factorize(hashes)  # a hash table, where np.unique sorts
         index = np.zeros(len(keys), np.int64)
         index[which] = np.arange(len(which))  # any occurrence
-        self._mark(odd, bounds, starts, ends - starts, blocks, place, index[which])
-        if len(self.known) > self.MOST:
-            self.clear()
-        raw = buf.tobytes()
-        names = [raw[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist(), strict=True)]
-        numbers = [self.known.get(k, -1) for k in names]
-        new = [i for i, v in enumerate(numbers) if v < 0]
-        if new:
-            self._learn([names[i] for i in new])
-            for i in new:
-                numbers[i] = self.known[names[i]]
-        number = np.array(numbers, np.int64)[which] if len(numbers) else np.zeros(0, np.int64)
+        speaks = index[which]
+        wrong = size != size[speaks]
+        wrong[_unlike(np.flatnonzero(~wrong & (speaks != np.arange(len(speaks)))), size, (first, blocks), (speaks, first, blocks))] = True
+        held = self.pieces
+        if len(held.hashes) > self.MOST:
+            held.clear()
+        number, other = held.find(keys, size[index], first[index], blocks)
+        wrong |= other[which]
+        odd[np.searchsorted(bounds, starts[wrong], "right") - 1] = True
+        new = index[number < 0]
+        if len(new):
+            order, count, learnt = self._learn(buf, starts[new], size[new])
+            new_numbers = np.empty(len(new), np.int64)
+            new_numbers[order] = held.size.n + np.arange(len(new))
+            number[number < 0] = new_numbers
+            held.add(hashes[new][order], size[new][order], first[new][order], blocks, count, learnt)
+        number = number[which]
         place = np.searchsorted(starts, bounds)  # pieces before each text
         number = np.insert(number, place[1:], -1)  # -1: the end of a text
-        size = np.where(number >= 0, self.size[number], 1)
+        size = np.where(number >= 0, held.count.data[number], 1).astype(np.int64)
         before = np.cumsum(size) - size
-        ids = self.ids[np.repeat(np.where(number >= 0, self.at[number], 0) - before, size) + np.arange(int(size.sum()))]
+        ids = held.ids.data[np.repeat(np.where(number >= 0, held.at.data[number], 0) - before, size) + np.arange(int(size.sum()))]
         stop = np.flatnonzero(number < 0)
         ids[before[stop]] = END
         edges = np.r_[0, before[stop] + 1]
@@ -149,6 +203,10 @@ class Encoder:
         return ids, np.diff(edges)
 
 
+#: By tokenizer file: the encoder that the tasks of a worker share.
+_ENCODERS: dict[str, Encoder] = {}
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -159,7 +217,10 @@ def _shards(path: str | None, most: int):
     def run(batches):
         from prumo.llm.wavelet import write_shard
 
-        enc, task, k = Encoder(path or default_tokenizer()), TaskContext.get().partitionId(), 0
+        file = path or default_tokenizer()
+        if file not in _ENCODERS:
+            _ENCODERS[file] = Encoder(file)
+        enc, task, k = _ENCODERS[file], TaskContext.get().partitionId(), 0
         for part in chunks(batches, "text", most):
             parts, lengths = zip(*(enc.encode(s.column("text")) for s in slices(part, "text", 2 << 20)), strict=True)
             docs, ids, lengths = part.column("doc_id").to_pylist(), np.concatenate(parts), np.concatenate(lengths)
@@ -211,7 +272,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Writes docs as shards into the shared folder and returns what reading them back gives."""
+    """Writes docs as shards into the shared folder and returns what reading them back gives. Null texts are encoded as empty
+    ones (the end id only), a very long text is a shard of its own; for other cases see write_tokens."""
     spark = docs.sparkSession
     path = f"{scratch_dir(spark)}/prumo-tokens-{uuid.uuid4().hex}"
     write_tokens(docs, path, tokenizer)

@@ -32,13 +32,14 @@ class WaveletMatrix:
         now = number[ids]
         planes, zeros, ranks = [], [], []
         for p in range(max(0, len(symbols) - 1).bit_length() - 1, -1, -1):
-            bit = (now >> now.dtype.type(p)) & now.dtype.type(1) != 0
+            bit = (now & now.dtype.type(1 << p)) != 0
             packed = np.packbits(bit)
             planes.append(packed)
-            low = now[~bit]
-            zeros.append(len(low))
+            zeros.append(n - int(np.count_nonzero(bit)))
             ranks.append(_ranks(packed))
-            now = np.concatenate([low, now[bit]])
+            then = np.empty_like(now)
+            then[: zeros[-1]], then[zeros[-1] :] = now[~bit], now[bit]
+            now = then
         return cls(n, symbols, planes, zeros, ranks)
 
     def _rank1(self, p: int, i: int) -> int:
