@@ -63,9 +63,12 @@ def _join(table: pa.Table) -> pa.Table:
 
 
 def _unpack(batches):
+    """Edges of the blobs, one blob at a time and a bounded number of rows at once."""
     for batch in batches:
-        both = from_blobs(batch.column("blob").to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["u", "v"])
+        for blob in batch.column("blob"):
+            both = from_blobs([blob.as_py()])
+            for k in range(0, both.shape[1], 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(both[0, k : k + (1 << 16)]), pa.array(both[1, k : k + (1 << 16)])], ["u", "v"])
 
 
 def components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
