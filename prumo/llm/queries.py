@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prumo.llm import decontaminate, exact_dedup, hmm_lm, licenses, line_dedup, mixing, ngram_join, quality, substring_dedup, token_store
+from prumo.llm import decontaminate, exact_dedup, fill_in_middle, hmm_lm, licenses, line_dedup, mixing, ngram_join, periodic_runs, quality, substring_dedup, token_counts, token_store
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,5 +51,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_mixing, op3_license_scan, op4_quality_classifier, op5_exact_dedup, op6_token_store, op7_decontaminate, op8_hmm_lm, op9_substring_dedup, op10_line_dedup)}
-ORACLE_SQL = {"op1_ngram_join": ngram_join.SQL, "op2_mixing": mixing.SQL, "op5_exact_dedup": exact_dedup.SQL, "op9_substring_dedup": substring_dedup.SQL, "op10_line_dedup": line_dedup.SQL}
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.digest(_documents(spark, sf_dir))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(_documents(spark, sf_dir))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest(_documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_mixing, op3_license_scan, op4_quality_classifier, op5_exact_dedup, op6_token_store, op7_decontaminate, op8_hmm_lm, op9_substring_dedup, op10_line_dedup, op11_token_counts, op12_periodic_runs, op13_fill_in_middle)}
+ORACLE_SQL = {"op1_ngram_join": ngram_join.SQL, "op2_mixing": mixing.SQL, "op5_exact_dedup": exact_dedup.SQL, "op9_substring_dedup": substring_dedup.SQL, "op10_line_dedup": line_dedup.SQL, "op13_fill_in_middle": fill_in_middle.SQL}
