@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from prumo.plans import cases, ingest, pages, records, state, texts, vacancies
+from prumo.plans import cases, ingest, live, pages, records, state, texts, vacancies
 
-QUERIES: dict = {**records.QUERIES, **texts.QUERIES, **state.QUERIES, **ingest.QUERIES, **pages.QUERIES, **cases.QUERIES, **vacancies.QUERIES}
-ORACLE_SQL: dict = {**records.ORACLE_SQL, **texts.ORACLE_SQL, **state.ORACLE_SQL, **ingest.ORACLE_SQL, **pages.ORACLE_SQL, **cases.ORACLE_SQL, **vacancies.ORACLE_SQL}
+QUERIES: dict = {**records.QUERIES, **texts.QUERIES, **state.QUERIES, **ingest.QUERIES, **pages.QUERIES, **live.QUERIES, **cases.QUERIES, **vacancies.QUERIES}
+ORACLE_SQL: dict = {**records.ORACLE_SQL, **texts.ORACLE_SQL, **state.ORACLE_SQL, **ingest.ORACLE_SQL, **pages.ORACLE_SQL, **live.ORACLE_SQL, **cases.ORACLE_SQL, **vacancies.ORACLE_SQL}
