@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from prumo.plans import cases, ingest, live, pages, records, seen, state, texts, vacancies
+from prumo.plans import cases, ingest, live, monitor, pages, records, seen, state, texts, vacancies
 
-QUERIES: dict = {**records.QUERIES, **texts.QUERIES, **state.QUERIES, **ingest.QUERIES, **pages.QUERIES, **live.QUERIES, **seen.QUERIES, **cases.QUERIES, **vacancies.QUERIES}
-ORACLE_SQL: dict = {**records.ORACLE_SQL, **texts.ORACLE_SQL, **state.ORACLE_SQL, **ingest.ORACLE_SQL, **pages.ORACLE_SQL, **live.ORACLE_SQL, **seen.ORACLE_SQL, **cases.ORACLE_SQL, **vacancies.ORACLE_SQL}
+QUERIES: dict = {**records.QUERIES, **texts.QUERIES, **state.QUERIES, **ingest.QUERIES, **pages.QUERIES, **live.QUERIES, **seen.QUERIES, **monitor.QUERIES, **cases.QUERIES, **vacancies.QUERIES}
+ORACLE_SQL: dict = {**records.ORACLE_SQL, **texts.ORACLE_SQL, **state.ORACLE_SQL, **ingest.ORACLE_SQL, **pages.ORACLE_SQL, **live.ORACLE_SQL, **seen.ORACLE_SQL, **monitor.ORACLE_SQL, **cases.ORACLE_SQL, **vacancies.ORACLE_SQL}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prumo.functions import text as texts
+from prumo.operators.marks import marks
 
 
 def word_grams(df: DataFrame, keys: list[str], text: Column, lengths: list[int]) -> DataFrame:
@@ -60,25 +63,32 @@ def place_in_title(df: DataFrame, key: str, title: str, link: str, places: DataF
 
     A name counts where it first stands in the folded title, at the start of a word (its end may lie in a longer word), with
     at least six letters, unless the words before it make it a state or an institution, or 'do', 'da' ... follows. The longest
-    name wins, then the smallest code. A title that ends in other states' marks ('- MG'), or a link under another state's
-    government, rejects it. Titles meet names on four letters at the starts of words, so no title meets all names.
+    name wins, then the smallest code. A title with other marks of states only ('- XX', any two capitals), or a link under
+    another state's government, rejects it. All names are sought in one pass over the titles (see marks); only hits go on.
     """
-    folded = df.select(key, F.col(title).alias("_title"), F.col(link).alias("_link"), texts.fold_ascii(F.col(title)).alias("_t"))
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length("_t"), F.lit(1))), lambda i: (i == 1) | ~F.substring("_t", i - 1, F.lit(1)).rlike("[a-z]"))
-    at = folded.select("*", F.explode(starts).alias("_at")).withColumn("_four", F.substring(F.col("_t"), F.col("_at"), F.lit(4)))
-    names = places.select(F.col(code).alias("_code"), F.upper(state).alias("_state"), texts.fold_ascii(F.col(name)).alias("_n")).filter(F.length(F.replace("_n", F.lit(" "), F.lit(""))) >= 6)
-    names = names.withColumn("_four", F.substring("_n", 1, 4))
-    hits = at.join(names, "_four").filter(F.expr("instr(_t, _n)") == F.col("_at"))
-    before = F.trim(F.expr("substring(_t, 1, _at - 1)"))
-    last = F.regexp_extract(before, r"([a-z]+)$", 1)
-    behind = F.expr("substring(_t, _at + length(_n))")
+    folded = df.select(F.col(key).alias("key"), F.col(title).alias("_title"), F.col(link).alias("_link"), F.regexp_replace(texts.fold_ascii(F.col(title)), r"\s+", " ").alias("_t"))
+    names = places.select(F.col(code).cast("long").alias("id"), F.upper(state).alias("_state"), F.regexp_replace(texts.fold_ascii(F.col(name)), r"\s+", " ").alias("term"))
+    names = names.filter(F.length(F.replace("term", F.lit(" "), F.lit(""))) >= 6)
+    hits = marks(folded, "key", "_t", {}, names.withColumn("kind", F.lit("place")), whole=False)
+    hits = hits.groupBy("key", "id").agg(F.min("at").alias("_at")).join(names, "id").join(folded, "key")
+    before, behind = F.expr("left(_t, _at)"), F.expr("substring(_t, _at + 1 + length(term))")
+    last = F.regexp_extract(F.trim(before), r"([a-z]+)$", 1)
     a_state = before.contains("estado") & last.isin(*_OF)
-    hits = hits.filter(~a_state & ~last.isin(*_INSTITUTIONS) & ~behind.rlike(r"^\s+d[oa]s?\s+\w"))
-    best = hits.groupBy(key).agg(F.min_by(F.struct("_code", "_state", "_title", "_link"), F.struct(-F.length("_n"), F.col("_code"))).alias("_v")).select(key, "_v.*")
-    marks = F.filter(F.regexp_extract_all("_title", F.lit(r"[-–/]\s*([A-Z]{2})\b"), F.lit(1)), lambda m: m.isin(texts.STATES))
+    hits = hits.filter(~before.rlike("[a-z]$") & ~a_state & ~last.isin(*_INSTITUTIONS) & ~behind.rlike(r"^\s+d[oa]s?\s+\w"))
+    best = hits.groupBy("key").agg(F.min_by(F.struct("id", "_state", "_title", "_link"), F.struct(-F.length("term"), F.col("id"))).alias("_v")).select("key", "_v.*")
+    states = F.regexp_extract_all("_title", F.lit(r"-\s*([A-Z]{2})\b"), F.lit(1))
     host = texts.state_of_host(F.col("_link"))
-    fine = ((F.size(marks) == 0) | F.array_contains(marks, F.col("_state"))) & (host.isNull() | (host == F.col("_state")))
-    return best.filter(fine).select(key, F.col("_code").alias(code))
+    fine = ((F.size(states) == 0) | F.array_contains(states, F.col("_state"))) & (host.isNull() | (host == F.col("_state")))
+    return best.filter(fine).select(F.col("key").alias(key), F.col("id").cast(places.schema[code].dataType).alias(code))
+
+
+def towns_of(df: DataFrame, key: str, state: str, entity: str, entries: DataFrame, entry: str, city: str) -> DataFrame:
+    """key, entry: entries (entry, state, city) of the row's state whose town the row's entity names, as whole words."""
+    named = entries.select(F.col(entry).cast("long").alias("id"), F.lit("town").alias("kind"), F.col(city).alias("term"))
+    hits = marks(df, key, entity, {}, named).select("key", F.col("id").alias("_id")).distinct()
+    there = hits.join(df.select(F.col(key).alias("key"), F.col(state).alias("_state")), "key")
+    own = entries.select(F.col(entry).alias("_entry"), F.col(state).alias("_own"))
+    return there.join(own, (F.col("_id") == F.col("_entry")) & (F.col("_state") == F.col("_own"))).select(F.col("key").alias(key), F.col("_entry").alias(entry))
 
 
 def contest_keys(text: Column) -> Column:
@@ -88,27 +98,20 @@ def contest_keys(text: Column) -> Column:
     return F.zip_with(numbers, years, lambda n, y: F.concat(F.regexp_replace(n, "^0+(?=.)", ""), F.lit("/"), y))
 
 
-#: What may stand before the name of a town in that of its city hall.
-_CITY_HALL = r"^(?:prefeitura|municipio)(?: municipal)?(?: de| do| da)?\s+"
-
-
-def city_of(entity: Column) -> Column:
-    """The folded name of the town that an entity names."""
-    return F.regexp_replace(texts.fold_keep(entity), _CITY_HALL, "")
-
-
 def target_contest(df: DataFrame, key: str, state: str, entity: str, text: str, targets: DataFrame, target: str, city: str, number: str, role: str) -> DataFrame:
-    """key, target: the contest that a publication is about. Of the contests of its town, one whose number it cites comes
-    first; else, if it speaks of physicians, one without a number with a word of five letters or more of its role in the
-    text, where medical examinations and the like don't count. The smallest target of several."""
+    """key, target: the contest that a publication is about. Of the contests of the towns that its entity names, one whose number it
+    cites comes first (a number of no such form counts if its own words are in the text); else, if it speaks of physicians, one
+    without a number with a word of five letters or more of its role in the text, where medical examinations and the like don't
+    count. The smallest target of several."""
     folded = texts.fold_keep(F.col(text))
-    pubs = df.select(key, state, city_of(F.col(entity)).alias("_city"), contest_keys(F.col(text)).alias("_cited"), F.regexp_replace(folded, r"(?:exame|laudo|atestado) medico|junta medica|perito medico|medico[- ]veterin", " ").alias("_clean"), folded.contains("medic").alias("_med"))
-    known = targets.select(F.col(target).alias("_target"), state, texts.fold_keep(F.col(city)).alias("_city"), contest_keys(F.col(number)).alias("_numbers"), F.col(number).isNull().alias("_none"), F.filter(F.split(texts.fold_keep(F.col(role)), " "), lambda w: F.length(w) >= 5).alias("_words"))
-    met = pubs.join(known, [state, "_city"])
-    cites = F.coalesce(F.arrays_overlap("_cited", "_numbers"), F.lit(False))
-    named = F.col("_none") & F.col("_med") & ((F.size("_words") == 0) | F.exists("_words", lambda w: F.col("_clean").contains(w)))
+    pubs = df.select(key, contest_keys(F.col(text)).alias("_cited"), folded.alias("_low"), F.regexp_replace(folded, r"(?:exame|laudo|atestado) medico|junta medica|perito medico|medico[- ]veterin", " ").alias("_clean"))
+    known = targets.select(target, texts.fold_keep(F.col(number)).alias("_number"), contest_keys(F.col(number)).alias("_numbers"), F.filter(F.split(texts.fold_keep(F.col(role)), " "), lambda w: F.length(w) >= 5).alias("_words"))
+    met = towns_of(df, key, state, entity, targets, target, city).join(known, target).join(pubs, key)
+    numbered = F.coalesce(F.col("_number"), F.lit("")) != ""
+    cites = numbered & F.when(F.size("_numbers") > 0, F.arrays_overlap("_cited", "_numbers")).otherwise(F.contains("_low", F.col("_number")))
+    named = ~numbered & F.col("_low").contains("medic") & (F.col("_words").isNull() | (F.size("_words") == 0) | F.exists("_words", lambda w: F.col("_clean").contains(w)))
     ranked = met.withColumn("_rank", F.when(cites, 0).when(named, 1)).filter("_rank is not null")
-    return ranked.groupBy(key).agg(F.min_by("_target", F.struct("_rank", "_target")).alias(target))
+    return ranked.groupBy(key).agg(F.min_by(target, F.struct("_rank", target)).alias(target))
 
 
 def fill_by_role(page: DataFrame, notice: DataFrame, role: str, columns: list[str]) -> DataFrame:
@@ -122,7 +125,11 @@ def fill_by_role(page: DataFrame, notice: DataFrame, role: str, columns: list[st
 
 def entry_of(df: DataFrame, key: str, entries: str, field: str, wanted: str) -> DataFrame:
     """key, entry: of an array of structs the first whose field equals the row's wanted text without accents and case; null
-    where none does."""
-    rows = df.select(key, F.col(wanted).alias("_w"), F.posexplode_outer(entries).alias("_at", "_e"))
-    same = texts.fold_keep(F.col(f"_e.{field}")) == texts.fold_keep(F.col("_w"))
-    return rows.groupBy(key).agg(F.min_by("_e", F.when(same, F.col("_at"))).alias("entry"))
+    where none does. A row stays a row, whatever its key."""
+    bare = lambda c: F.trim(F.regexp_replace(F.lower(F.regexp_replace(F.translate(c, *_ACCENTS), r"\p{Mn}+", "")), r"(?U)\s+", " "))
+    own = F.filter(entries, lambda e: bare(e[field]) == bare(F.col(wanted)))
+    return df.select(key, F.get(own, F.lit(0)).alias("entry"))
+
+
+#: Letters with accents and without, for comparing inside arrays, where texts can't leave the JVM.
+_ACCENTS = "".join(chr(c) for c in range(0xC0, 0x250) if len(unicodedata.normalize("NFD", chr(c))) > 1), "".join(unicodedata.normalize("NFD", chr(c))[0] for c in range(0xC0, 0x250) if len(unicodedata.normalize("NFD", chr(c))) > 1)

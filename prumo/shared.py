@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 
@@ -25,3 +25,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
         base = _LOCAL[app]
     return f"{base.rstrip('/')}/prumo-{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written once to the shared folder and read back, for what several parts of a plan read; survives lost executors."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
