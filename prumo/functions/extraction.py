@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prumo.functions import values
+
 #: Degrees of confidence that count.
 TRUSTED = ("alta", "media")
 
@@ -30,6 +32,40 @@ def as_list(reply: Column, schema: str) -> Column:
     return F.when(kind == "[", F.from_json(reply, one)).when(inner.isNotNull(), inner).when(kind == "{", F.array(F.from_json(reply, schema))).otherwise(F.array().cast(one))
 
 
+def typed(of: Column, path: str, kind: str) -> Column:
+    """The value at a path of a variant, as a type; null where there is none or it doesn't fit. Numbers may come as text."""
+    own = F.try_variant_get(of, path, kind)
+    return own if kind == "string" else F.coalesce(own, F.try_variant_get(of, path, "string").try_cast(kind))
+
+
+def records_of(reply: Column, field: str) -> Column:
+    """Records of a JSON reply as an array of variants, whatever its shape: a list, an object with a list under a field (as JSON or as a text
+    of JSON), or one object; null for what is no JSON."""
+    whole = F.try_parse_json(reply)
+    inner = F.try_variant_get(whole, f"$.{field}", "array<variant>")
+    said = F.try_variant_get(F.try_parse_json(F.try_variant_get(whole, f"$.{field}", "string")), "$", "array<variant>")
+    return F.coalesce(F.try_variant_get(whole, "$", "array<variant>"), inner, said, F.when(whole.isNotNull() & F.try_variant_get(whole, f"$.{field}", "variant").isNull(), F.array(whole)))
+
+
+def vacancy_fields(reply: Column, role: int = 0) -> dict[str, Column]:
+    """The named fields of a record from a reply with those of the notice and, in its list 'vagas', of its roles: counts from numbers or
+    texts, dates only in ISO form, and the value of an hour worked out from monthly pay and a plain weekly load."""
+    notice = F.try_parse_json(reply)
+    own = F.get(records_of(reply, "vagas"), F.lit(role))
+    pay, load = typed(own, "$.salario", "decimal(12,2)"), typed(own, "$.carga_horaria", "string")
+    out = {
+        "numero_vagas": values.parse_count(typed(own, "$.vagas_qtd", "string")),
+        "taxa_inscricao": typed(notice, "$.taxa_inscricao", "decimal(12,2)"),
+        "carga_horaria": load,
+        "valor_hora": values.hourly_of(pay, typed(own, "$.salario_tipo", "string"), load).cast("decimal(12,2)"),
+        "requisitos": typed(own, "$.requisitos", "string"),
+        "banca_organizadora": typed(notice, "$.banca_organizadora", "string"),
+        "tem_prova": typed(notice, "$.tem_prova", "boolean"),
+        "exige_curriculo": typed(notice, "$.exige_curriculo", "boolean"),
+    }
+    return out | {name: values.date_iso(typed(notice, f"$.{name}", "string")) for name in ("data_prova", "data_pagamento_taxa", "data_resultado")}
+
+
 def list_or_text(reply: Column, field: str, schema: str) -> Column:
     """An array field that some replies hold as JSON and others as a text of JSON."""
     one = f"array<struct<{schema}>>"

@@ -53,10 +53,11 @@ BLOCK_MARKERS = (
 )
 REFUSING = (403, 429, 503)
 #: Categories and title marks of gazette acts that open no selection, and marks of later phases and of openings.
+NO_OPENINGS = ("ata de registro de precos", "licitacoes", "contratos", "leis", "decretos", "portarias")
 CLOSED_TITLE = (
     r"c\s?o\s?n\s?v\s?o\s?c|homologa|resultado|classifica|gabarito|errata|prorroga|nomea|exonera|cancel|suspen|recurso|comissao|conselho tutelar|"
     r"extrato de contrato|dispensa|inexigib|credenciamento|\blista\b|relacao d|ensalamento|locais de prova|isenc|deferid|termo de|edital de chamada\b|"
-    r"chamada publica suplementar|posse|decreto|portaria|\blei\b|resoluc|sumula|aditivo|plano de contrata|eliminad|candidatos|comunicado"
+    r"chamamento\s*n\S*\s*\d+/\d+\s*do\s*(?:concurso|processo)|chamada publica suplementar|posse|decreto|portaria|\blei\b|resoluc|sumula|aditivo|plano de contrata|eliminad|candidatos|comunicado"
 )
 OPENING = r"processo seletivo|concurso publico|\bpss\b|edital de abertura|abertura de inscri|inscric(?:ao|oes)|chamamento publico"
 LATER = r"a\s+convocacao dos candidatos|ficam? convocad|classificacao final|homologacao d[aeo]|resultado (?:final|preliminar|d[oa] (?:sorteio|processo|concurso))|avaliacao dos titulos|convocacao d[eo]s? candidat"
@@ -101,16 +102,17 @@ def internal_contest(title: Column) -> Column:
     return F.coalesce(title.contains("intern"), F.lit(False))
 
 
-def opening_candidate(title: Column, body: Column) -> Column:
+def opening_candidate(title: Column, body: Column, category: Column | None = None) -> Column:
     """Whether a gazette act on folded text looks like the opening of a selection for physicians: its title names no later
     phase, it says that it opens one, the first 1,200 characters announce no later phase unless they clearly open one, and a
-    medical role stands within 100 characters before and 140 behind of what vacancies have (pay, hours, places)."""
+    medical role stands within 100 characters before and 140 behind of what vacancies have (pay, hours, places). Before all that, a category (folded, too) that never brings an opening rules it out."""
     both = F.concat_ws(" ", title, body)
     head = F.substring(body, 1, 1200)
     later = F.coalesce(head.rlike(LATER) & ~head.rlike(OPENING_STRONG), F.lit(False))
     clean = F.regexp_replace(both, NOT_A_ROLE, " ")
     near = clean.rlike(rf"(?s)(?:{ROLE}).{{0,140}}(?:{PAY})|(?:{PAY}).{{0,100}}(?:{ROLE})")
-    return F.coalesce(~title.rlike(CLOSED_TITLE), F.lit(True)) & both.rlike(OPENING) & ~later & near
+    out = F.coalesce(~title.rlike(CLOSED_TITLE), F.lit(True)) & both.rlike(OPENING) & ~later & near
+    return out if category is None else ~F.coalesce(category.isin(*NO_OPENINGS), F.lit(False)) & out
 
 
 def quota_error(message: Column, marks: tuple[str, ...] = ("usage limit", "rate limit", "quota", "too many requests", "429")) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Month names in Portuguese.
@@ -48,8 +48,8 @@ def hourly(salary: Column, weekly_hours: Column) -> Column:
 
 
 def weekly_hours(text: Column) -> Column:
-    """Hours of a plain weekly load ('40h', '40 horas semanais', '20h/semana'); null for shifts and other wordings."""
-    hours = F.regexp_extract(F.lower(F.trim(text)), r"^(\d{1,2})\s*(?:h|hs|horas?)\s*(?:(?:/|por|na)?\s*sem(?:ana|anal|anais)?\.?)?$", 1)
+    """Hours of a plain weekly load ('40h', '40 horas semanais'); null for shifts and other wordings ('30 h/semana' among them)."""
+    hours = F.regexp_extract(F.lower(F.trim(text)), r"^(\d{1,3})\s*h(?:oras)?(?:\s*semana(?:l|i|is))?$", 1)
     return F.when(hours != "", hours.try_cast("int"))
 
 
@@ -59,8 +59,10 @@ def hourly_of(salary: Column, kind: Column, load: Column) -> Column:
 
 
 def hourly_shown(salary: Column, kind: Column, load: Column) -> Column:
-    """The looser value for display: pay counts as monthly unless it says otherwise, hours are the first number of the load."""
-    return F.when(F.coalesce(kind, F.lit("mensal")) == "mensal", hourly(salary, F.regexp_extract(load, r"(\d+)", 1).try_cast("int")))
+    """The looser value for display: pay counts as monthly unless it says otherwise, hours are the first number of the load, with its decimals
+    ('37,5h')."""
+    hours = F.replace(F.regexp_extract(load, r"(\d+(?:[.,]\d+)?)", 1), F.lit(","), F.lit(".")).try_cast("decimal(8,2)")
+    return F.when(F.coalesce(kind, F.lit("mensal")) == "mensal", hourly(salary, hours))
 
 
 def date_br(text: Column) -> Column:
@@ -116,6 +118,12 @@ def chronology(begin: Column, end: Column) -> Column:
     return F.when(begin.isNull() | end.isNull(), "incomplete").when(end < begin, "reversed").when(end == begin, "same day").otherwise("in order")
 
 
+def review_payload(df: DataFrame, keep: list[str], begin: str, end: str, today: Column) -> DataFrame:
+    """What a reviewer gets of a record: the fields to keep, the label of its dates, and the days left until the end (null if it is over)."""
+    left = F.datediff(end, today)
+    return df.select(*keep, chronology(F.col(begin), F.col(end)).alias("label"), F.when(left >= 0, left).alias("left_days"))
+
+
 def lifecycle(begin: Column, end: Column, today: Column) -> Column:
     return F.when(end < today, "encerrada").when(begin > today, "futura").otherwise("aberta")
 

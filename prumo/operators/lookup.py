@@ -55,9 +55,10 @@ def insert_flags(df: DataFrame, seen: DataFrame, keys: list[str], order: list[Co
 
 def once_per(df: DataFrame, log: DataFrame, keys: list[str], ts: str, days: int) -> DataFrame:
     """Rows of df that come `days` or more after the last logged row of their key, or whose key isn't logged. Keys are compared
-    as 64-bit hashes, so that the log needs no names."""
-    last = log.groupBy(F.xxhash64(*keys).alias("_h")).agg(F.max(ts).alias("_last"))
-    held = df.withColumn("_h", F.xxhash64(*keys)).join(last, "_h", "left")
+    as 128 bits of hashes, so that the log needs no names."""
+    hashed = F.struct(F.xxhash64(*keys).alias("a"), F.xxhash64(F.lit(1), *keys).alias("b"))
+    last = log.groupBy(hashed.alias("_h")).agg(F.max(ts).alias("_last"))
+    held = df.withColumn("_h", hashed).join(last, "_h", "left")
     return held.filter(F.col("_last").isNull() | (F.col(ts) >= F.col("_last") + F.make_dt_interval(F.lit(days)))).drop("_h", "_last")
 
 

@@ -57,9 +57,14 @@ def transition(df: DataFrame, key: str, state: str, to: dict[str, Column], at: C
     return both.withColumn(state, F.col("_after")).drop("_after"), log
 
 
-def append_log(entries: DataFrame, path: str, day: Column) -> None:
-    """Appends entries to an audit log of Parquet folders by day; what is there is never rewritten."""
-    entries.withColumn("day", day).write.mode("append").partitionBy("day").parquet(path)
+def append_log(entries: DataFrame, path: str, day: Column, run: str | None = None) -> None:
+    """Appends entries to an audit log of Parquet folders by day; what other runs wrote is never rewritten. With a run id, entries lie in
+    folders of their run, and a run that is repeated puts its own in the place of what it wrote before, so a retry doubles nothing."""
+    if run is None:
+        entries.withColumn("day", day).write.mode("append").partitionBy("day").parquet(path)
+        return
+    own = entries.withColumn("day", day).withColumn("run", F.lit(run))
+    own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "day").parquet(path)
 
 
 def markdown_rows(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 
 
 #: An attribute's value: in double quotes, in single ones, or bare.
-_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_VALUE = r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def _attributes(html: Column, tag: str, name: str) -> Column:
     """Values of an attribute of all such tags, in order; names in any case."""
-    rx = F.lit(rf"(?is)<{tag}\b[^>]*?(?<![-\w]){name}{_VALUE}")
-    quoted, single, bare = (F.regexp_extract_all(html, rx, F.lit(k)) for k in (1, 2, 3))
-    return F.filter(F.zip_with(F.zip_with(quoted, single, lambda a, b: F.concat(a, b)), bare, lambda a, b: F.concat(a, b)), lambda v: v != "")
+    found = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*?(?<![-\w]){name}{_VALUE}"), F.lit(1))
+    quoted = lambda v: F.substring(v, 1, 1).isin('"', "'")
+    return F.filter(F.transform(found, lambda v: F.when(quoted(v), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)), lambda v: v != "")
 
 
 def links(pages: DataFrame, key: str, html: str) -> DataFrame:
