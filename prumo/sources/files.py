@@ -34,18 +34,18 @@ def kind_of(content: Column) -> Column:
 
 
 def _unzip(batches):
+    """One entry at a time, so that no more than an archive and one of its files is held."""
     for batch in batches:
         names = [n for n in batch.schema.names if n != "content"]
         for k in range(batch.num_rows):
-            entries: list[tuple[str, bytes]] = []
+            own = [batch.column(n).slice(k, 1) for n in names]
             try:
                 with zipfile.ZipFile(io.BytesIO(batch.column("content")[k].as_py() or b"")) as archive:
-                    entries = [(i.filename, archive.read(i)) for i in archive.infolist() if not i.is_dir()]
+                    for i in archive.infolist():
+                        if not i.is_dir():
+                            yield pa.RecordBatch.from_arrays([*own, pa.array([i.filename], pa.string()), pa.array([archive.read(i)], pa.binary())], [*names, "entry", "data"])
             except zipfile.BadZipFile:
                 pass
-            if entries:
-                own = [batch.column(n).slice(k, 1).take(pa.array([0] * len(entries))) for n in names]
-                yield pa.RecordBatch.from_arrays([*own, pa.array([n for n, _ in entries], pa.string()), pa.array([b for _, b in entries], pa.binary())], [*names, "entry", "data"])
 
 
 def archive_rows(df: DataFrame, keys: list[str], content: str, field: str, schema: str) -> DataFrame:
