@@ -28,6 +28,17 @@ def divergent(df: DataFrame, keys: list[str], decision: str, least: int = 3) ->
     return df.join(groups, keys).filter(F.col(decision) != F.col("mode"))
 
 
+def verdict_for_all(df: DataFrame, keys: list[str], order: list[Column], verdict: Column, out: str, least: int = 2) -> DataFrame:
+    """df with what is decided on each group's first row by order (its representative), for groups of at least `least` rows; rows of smaller
+    groups are left out. One decision a group, however expensive, is applied to all its members."""
+    by = F.struct(*order)
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), by).alias("_r"), F.count("*").alias("_n")).filter(F.col("_n") >= least)
+    decided = first.select("_r.*")
+    decided = decided.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), verdict.alias(out))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return df.join(decided, same).drop(*(f"_k{i}" for i in range(len(keys))))
+
+
 def tiered_key(*tiers: tuple[str, Column]) -> Column:
     """A struct (tier, key) of the first tier whose value isn't null or empty; the last tier always applies."""
     out = F.struct(F.lit(tiers[-1][0]).alias("tier"), tiers[-1][1].cast("string").alias("key"))

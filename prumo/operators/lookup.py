@@ -89,3 +89,13 @@ def batch_of_day(df: DataFrame, key: str, size: int, day: int, block: int = 1000
     starts = placed.select(F.col("_b").alias("_block"), (F.col("_before") + F.col("_own")).alias("_start"), F.col("_all"))
     rank = F.row_number().over(W.partitionBy("_b").orderBy(key)) - 1
     return cut.withColumn("_r", rank).join(starts, F.col("_b") == F.col("_block")).filter(F.floor((F.col("_r") + F.col("_start")) / size) == F.lit(day) % F.ceil(F.col("_all") / size)).select(*df.columns)
+
+
+def without_any(df: DataFrame, other: DataFrame, ways: list[list[tuple[str, Column]]]) -> DataFrame:
+    """Rows of df that no row of other meets in any of the ways; a way is a list of (column of df, expression of other) that must all be
+    equal. Not (A or B) is not A and not B, so each way is an equi anti join of its own, one after the other, and none is a nested loop.
+    A null meets nothing."""
+    for way in ways:
+        there = other.select(*(e.alias(f"_w{k}") for k, (_, e) in enumerate(way))).distinct()
+        df = df.join(there, [F.col(c) == F.col(f"_w{k}") for k, (c, _) in enumerate(way)], "left_anti")
+    return df

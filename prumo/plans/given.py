@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from prumo.functions import extraction, rules, text, values
+from prumo.operators import consensus, lookup
 from prumo.plans.common import table
 from prumo.sources import feeds, files, html
 
@@ -241,3 +242,34 @@ def feed_times_of_orders(spark, sf):
     atom = by.filter("o_custkey % 2 = 1").withColumn("xml", F.concat(F.lit("<feed>"), "entries", F.lit("</feed>")))
     both = feeds.rss_items(rss, "o_custkey", "xml").unionByName(feeds.atom_entries(atom, "o_custkey", "xml"))
     return both.select("o_custkey", F.col("ordinal").cast("long").alias("ordinal"), "title", feeds.published(F.col("published")).cast("timestamp_ntz").alias("published"))
+
+
+# groups and anti joins
+
+
+@query("""WITH g AS (SELECT *, regexp_replace(o_orderpriority, '-.*$', '') AS base, count(*) OVER (PARTITION BY o_custkey, regexp_replace(o_orderpriority, '-.*$', '')) AS n, first_value(o_totalprice) OVER (PARTITION BY o_custkey, regexp_replace(o_orderpriority, '-.*$', '') ORDER BY o_orderkey) AS price FROM orders)
+SELECT o_orderkey, CASE WHEN price > 200000 THEN 'rejected' ELSE 'approved' END AS verdict FROM g WHERE n >= 2""")
+def verdicts_of_orders(spark, sf):
+    """What is decided on the first order of a customer and base priority holds for all of them."""
+    o = table(spark, sf, "orders").withColumn("base", F.regexp_replace("o_orderpriority", "-.*$", ""))
+    verdict = F.when(F.col("o_totalprice") > 200000, "rejected").otherwise("approved")
+    return consensus.verdict_for_all(o, ["o_custkey", "base"], [F.col("o_orderkey")], verdict, "verdict").select("o_orderkey", "verdict")
+
+
+@query("""SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders JOIN customer d ON o_custkey = d.c_custkey WHERE o_totalprice > 498000 AND (c.c_custkey = d.c_custkey OR c.c_nationkey = d.c_nationkey AND lower(c.c_mktsegment) = lower(d.c_mktsegment)))""")
+def without_large_orders(spark, sf):
+    """Customers without a large order of their own or of one of the same nation and segment."""
+    c, o = table(spark, sf, "customer"), table(spark, sf, "orders").filter("o_totalprice > 498000")
+    large = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    left = c.withColumn("segment", F.lower("c_mktsegment"))
+    return lookup.without_any(left, large, [[("c_custkey", F.col("o_custkey"))], [("c_nationkey", F.col("c_nationkey")), ("segment", F.lower("c_mktsegment"))]]).select("c_custkey")
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def csv_dimension(spark, sf):
+    """A dimension written as CSV with a header and read back with its schema."""
+    from prumo.shared import shared_folder
+
+    path = shared_folder(spark, "csv")
+    table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey").write.option("header", True).csv(path)
+    return files.dimension(spark, path, "n_nationkey int, n_name string, n_regionkey int")

@@ -7,16 +7,24 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def rolling_sum(df: DataFrame, key: str, ts: str, value: str, interval: str, out: str) -> DataFrame:
-    """Sum of value over the interval that ends at each row, per key."""
-    return df.withColumn(out, F.expr(f"sum({value}) over (partition by {key} order by {ts} range between interval {interval} preceding and current row)"))
-
-
 def _slices(df: DataFrame, key: str, ts: str, hours: int) -> DataFrame:
     """df with _slice: the row's stretch of `hours` hours, so that a window over (key, slice) splits a key of any size."""
     return df.withColumn("_slice", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (3_600_000_000 * hours)))
 
 
+def rolling_sum(df: DataFrame, key: str, ts: str, value: str, interval: str, out: str, hours: int = 24) -> DataFrame:
+    """Sum of value over the interval that ends at each row, per key. A key's rows are split into slices of `hours` hours (or of the interval, if
+    that is longer); the rows of a slice's last interval also stand in the next slice, where they only count, so no window sees more
+    than two slices and a key of any size is shared by many tasks."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    length = F.greatest(F.lit(3_600_000_000 * hours), F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00Z' + interval {interval})"))
+    cut = df.withColumn("_slice", F.floor(micros / length)).withColumn("_carried", F.lit(False))
+    reach = F.col(ts).cast("timestamp") + F.expr(f"interval {interval}")
+    late = cut.filter(F.unix_micros(reach) >= (F.col("_slice") + 1) * length).withColumn("_slice", F.col("_slice") + 1).withColumn("_carried", F.lit(True))
+    summed = cut.unionByName(late).withColumn(out, F.expr(f"sum({value}) over (partition by {key}, _slice order by {ts} range between interval {interval} preceding and current row)"))
+    return summed.filter("not _carried").drop("_slice", "_carried")
+
+
 def spacing_violations(df: DataFrame, key: str, order: list[str], ts: str, least_seconds: int, hours: int = 24) -> DataFrame:
     """Rows that come sooner than least_seconds after the row before, per key, with the gap in whole seconds. Rows are ordered
     within slices of `hours` hours; the first of a slice is held against the last time of the slice before it that has rows,
@@ -30,10 +38,20 @@ def spacing_violations(df: DataFrame, key: str, order: list[str], ts: str, least
     return cut.withColumn("_own", own).join(ends, [key, "_slice"]).withColumn("gap_seconds", gap).filter(F.col("gap_seconds") < least_seconds).drop("_slice", "_own", "_last")
 
 
-def runs(df: DataFrame, key: str, order: list[str], flag: Column, least: int, ts: str) -> DataFrame:
-    """Runs of at least `least` consecutive flagged rows per key: first and last time, length."""
-    w = W.partitionBy(key).orderBy(*order)
-    marked = df.withColumn("_f", flag).withColumn("_island", F.sum((~F.col("_f")).cast("int")).over(w))
+def _numbered(df: DataFrame, key: str, order: list[str], ts: str, counted: Column, out: str, hours: int) -> DataFrame:
+    """df with how many rows up to and with each one are counted, per key: counts within slices, and those of earlier slices from a table of one
+    row for each key and slice."""
+    cut = _slices(df, key, ts, hours).withColumn("_one", counted.cast("long"))
+    own = F.sum("_one").over(W.partitionBy(key, "_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    sums = cut.groupBy(key, "_slice").agg(F.sum("_one").alias("_n"))
+    earlier = F.coalesce(F.sum("_n").over(W.partitionBy(key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return cut.withColumn("_own", own).join(sums.select(key, "_slice", earlier.alias("_before")), [key, "_slice"]).withColumn(out, F.col("_own") + F.col("_before")).drop("_slice", "_one", "_own", "_before")
+
+
+def runs(df: DataFrame, key: str, order: list[str], flag: Column, least: int, ts: str, hours: int = 24) -> DataFrame:
+    """Runs of at least `least` consecutive flagged rows per key: first and last time, length. Rows of a run have equally many rows without
+    the flag before them, which are counted slice by slice; a run may reach over slices."""
+    marked = _numbered(df.withColumn("_f", flag), key, order, ts, ~F.col("_f"), "_island", hours)
     return marked.filter("_f").groupBy(key, "_island").agg(F.min(ts).alias("started"), F.max(ts).alias("ended"), F.count("*").alias("run_length")).filter(F.col("run_length") >= least).drop("_island")
 
 
@@ -95,10 +113,14 @@ def first_reads(new: DataFrame, key: str, turn: str, alerts: Column) -> DataFram
     return new.join(first, key).filter((F.col(turn) > F.col("_first")) | alerts).drop("_first")
 
 
-def estimates(df: DataFrame, key: str, order: list[str], value: str, least: float, last: int = 8) -> DataFrame:
-    """What each call is taken to cost beforehand: the larger of `least` and the largest of the key's `last` calls before."""
-    before = F.max(value).over(W.partitionBy(key).orderBy(*order).rowsBetween(-last, -1))
-    return df.withColumn("estimate", F.greatest(F.coalesce(before, F.lit(least)), F.lit(least)))
+def estimates(df: DataFrame, key: str, order: list[str], value: str, least: float, last: int = 8, ts: str = "ts", hours: int = 24, rows: int = 4096) -> DataFrame:
+    """What each call is taken to cost beforehand: the larger of `least` and the largest of the key's `last` calls before. Calls are numbered slice
+    by slice; a window takes `rows` of them and the `last` before."""
+    calls = _numbered(df, key, order, ts, F.lit(True), "_nth", hours).withColumn("_part", F.floor((F.col("_nth") - 1) / rows)).withColumn("_carried", F.lit(False))
+    tail = calls.filter(F.pmod(F.col("_nth") - 1, F.lit(rows)) >= rows - last).withColumn("_part", F.col("_part") + 1).withColumn("_carried", F.lit(True))
+    before = F.max(value).over(W.partitionBy(key, "_part").orderBy("_nth").rowsBetween(-last, -1))
+    priced = calls.unionByName(tail).withColumn("estimate", F.greatest(F.coalesce(before, F.lit(least)), F.lit(least)))
+    return priced.filter("not _carried").drop("_nth", "_part", "_carried")
 
 
 def quarantine(runs_: DataFrame, key: str, seconds: int) -> DataFrame:

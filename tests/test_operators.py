@@ -85,3 +85,46 @@ def test_reread_margin(spark):
     df = spark.range(0, 20).withColumnRenamed("id", "n")
     seen = spark.createDataFrame([(10,), (8,)], "n long")
     assert [r[0] for r in control.reread(df, "n", seen, 3).orderBy("n").collect()] == [7, 9, *range(11, 20)]
+
+
+def test_one_verdict_for_a_group(spark):
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, 9), ("b", 3, 1), (None, 4, 7), (None, 5, 8)], "k string, id int, v int")
+    got = consensus.verdict_for_all(df, ["k"], [F.col("id")], F.col("v") > 4, "fine")
+    assert sorted((r.id, r.fine) for r in got.collect()) == [(1, True), (2, True), (4, True), (5, True)]
+    assert consensus.verdict_for_all(df, ["k"], [F.col("id")], F.col("v") > 4, "fine", least=1).count() == 5
+
+
+def test_anti_join_of_several_ways(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "c")], "id int, s string")
+    other = spark.createDataFrame([(1, "z"), (9, "B"), (None, None)], "i int, t string")
+    assert sorted(r.id for r in lookup.without_any(df, other, [[("id", F.col("i"))], [("s", F.lower("t"))]]).collect()) == [3, 4]
+
+
+def test_windows_over_slices_equal_whole_ones(spark):
+    import datetime as dt
+    import random
+
+    from prumo.streaming import control
+
+    rng, at, rows = random.Random(2), dt.datetime(2024, 1, 1), []
+    for i in range(600):
+        at += dt.timedelta(seconds=rng.choice([0, 30, 900, 4000, 90_000 if i % 97 == 0 else 5]))
+        rows.append((i, rng.choice("ab"), at, rng.choice([None, 1.0, 2.0, 7.0]), rng.random() < 0.6))
+    df = spark.createDataFrame(rows, "id int, k string, ts timestamp, v double, bad boolean")
+    for hours in (1, 3, 24):
+        got = {r.id: r.s for r in control.rolling_sum(df, "k", "ts", "v", "'90' minute", "s", hours).collect()}
+        for i, k, t, _, _ in rows:
+            own = [v for _, j, u, v, _ in rows if j == k and t - dt.timedelta(minutes=90) <= u <= t and v is not None]
+            assert got[i] == (sum(own) if own else None)
+        islands, n, want = {}, {}, {}
+        for i, k, t, _, bad in rows:
+            if bad:
+                want.setdefault((k, n.get(k, 0)), []).append(t)
+            else:
+                n[k] = n.get(k, 0) + 1
+        islands = sorted((k, ts[0], ts[-1], len(ts)) for (k, _), ts in want.items() if len(ts) >= 2)
+        assert sorted((r.k, r.started, r.ended, r.run_length) for r in control.runs(df, "k", ["ts", "id"], F.col("bad"), 2, "ts", hours).collect()) == islands
+        price = {r.id: r.estimate for r in control.estimates(df, "k", ["ts", "id"], "v", 1.5, 3, hours=hours, rows=10).collect()}
+        for i, k, *_ in rows:
+            before = [v for j, h, _, v, _ in rows if h == k and j < i][-3:]
+            assert price[i] == max([1.5, *(v for v in before if v is not None)])
