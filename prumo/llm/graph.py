@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from prumo.llm.common import discard, materialize
 
 #: Edges that one task joins at most (16 bytes each); more are joined by star steps over many tasks.
-LOCAL_EDGES = 1 << 22
+LOCAL_EDGES = 1 << 16
 
 
 def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
