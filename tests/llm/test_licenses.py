@@ -67,7 +67,8 @@ def test_names_alone_are_no_notices(spark):
 
 
 def test_recall_on_changed_paragraphs(spark):
-    """Body paragraphs of every family with words missing and others around, which the model wasn't fitted on."""
+    """Altered copies (words missing, others around) of the body paragraphs that the model is fitted on: it bears changes; this says nothing of
+    paragraphs that it has never seen."""
     rng, texts = np.random.default_rng(77), []
     for family, bodies in L.BODIES.items():
         for body in bodies:
