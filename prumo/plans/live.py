@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from prumo.plans.common import table
 from prumo.shared import shared_folder
-from prumo.streaming import live
+from prumo.streaming import incremental, live
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -58,3 +58,30 @@ SELECT event_id, kind FROM e LEFT JOIN s USING (n)""")
 def live_dispatch(events):
     """Each event to the model least used that day, until the models' caps are reached."""
     return live.dispatch(events, "ts", "event_id", {"large": 5, "medium": 90, "small": 150}, _ZONE, "0 seconds")
+
+
+def _plain(f, sql: str) -> None:
+    QUERIES[f.__name__], ORACLE_SQL[f.__name__] = f, sql
+
+
+def events_once(spark, sf):
+    """Each event once, though the stream is started twice; data first, marks of what was seen after."""
+    path, schema = shared_folder(spark, "once"), table(spark, sf, "events").schema
+    for _ in range(2):
+        stream = incremental.read_new(spark, f"{sf}/events.parque[t]", schema, "ts", ["event_id"], "1 hour")
+        incremental.run_available(stream, f"{path}/checkpoint", incremental.parquet_batches(f"{path}/rows"))
+    return spark.read.parquet(f"{path}/rows").select("event_id", "user_id", "event_type")
+
+
+def events_by_hour(spark, sf):
+    """Counts by type and six hours that a stream has closed by its watermark, appended as they close."""
+    path, schema = shared_folder(spark, "hours"), table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]").withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = incremental.windowed_counts(stream, "ts", ["event_type"], "6 hours", "0 seconds")
+    query = counts.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/checkpoint").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.parquet(f"{path}/rows").select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+_plain(events_once, "SELECT event_id, user_id, event_type FROM events")
+_plain(events_by_hour, "SELECT start, event_type, count(*) AS n FROM (SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS start, event_type FROM events) WHERE start + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) GROUP BY start, event_type")
