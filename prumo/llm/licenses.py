@@ -324,9 +324,10 @@ def _units(p: Paragraphs):
     stop = np.repeat(stops, stops - starts)
     more = stops - starts > max(JOINED)
     yield LEAST_BLOCK, starts[more], stops[more]
+    place = line - np.searchsorted(p.doc, p.doc)  # within the text, so that a text's result doesn't depend on its neighbours
     for w in JOINED:
         for phase in range(w):
-            begin = line[phase::w]
+            begin = line[place % w == phase]
             begin = begin[begin + w <= stop[begin]]
             yield 1, begin, begin + w
 

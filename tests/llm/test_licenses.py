@@ -81,3 +81,90 @@ def test_recall_on_changed_paragraphs(spark):
     for k, (family, _) in enumerate(texts):
         per.setdefault(family, []).append(family in got[k])
     assert {f: sum(v) / len(v) for f, v in per.items() if sum(v) < 0.9 * len(v)} == {}
+
+
+PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+
+
+def codes(words):
+    return L.paragraphs(pa.array([" ".join(words)])).codes
+
+
+def pairs(words):
+    own = codes(words)
+    return set(L.windows(own, 2).tolist()) or set(own.tolist())
+
+
+def plain_scan(text, model, known):
+    """(families, places, likely ones that nothing confirms, highest probability) of one text, unit by unit."""
+    lines, blocks, empty = [], [], True
+    for line in (text or "").split("\n"):
+        words = [w.decode() for w in line.encode().split()]
+        core = [c for c in (w.strip(PUNCTUATION) for w in words) if c]
+        if not words:
+            empty = True
+        if core:
+            if empty or not blocks:
+                blocks.append([])
+            blocks[-1].append(len(lines))
+            lines.append(core)
+        empty = empty and not core
+
+    def judged(a, b):
+        words = [w for line in lines[a:b] for w in line]
+        features = {int(model.number[int(h) % L.BUCKETS]) for k in (1, 2, 3) for h in L.windows(codes(words), k)} - {-1}
+        if not features:
+            return None
+        raw = [(sum(model.weights[f][c] for f in features) + model.bias[c]) / model.temperature for c in range(len(model.bias))]
+        e = [np.exp(x - max(raw)) for x in raw]
+        best = max(range(len(e)), key=lambda c: e[c])
+        return (best, e[best] / sum(e), pairs(words)) if best and e[best] / sum(e) >= L.LEAST_PROBABILITY else None
+
+    units = [(0, k, k + 1) for k in range(len(lines))] + [(L.LEAST_BLOCK, b[0], b[-1] + 1) for b in blocks if len(b) > 3]
+    for w in (3, 2):
+        units += [(1, k, k + w) for phase in range(w) for k in range(phase, len(lines), w) if any(b[0] <= k and k + w <= b[-1] + 1 for b in blocks)]
+    names, found, doubted = ["", *L.FAMILIES], [], set()
+    for least, a, b in units:
+        own = judged(a, b)
+        if own is None or least and any(c < b and d > a and (d - c > 1 or f == names[own[0]]) for f, c, d, _ in found):
+            continue
+        best, share, mine = own
+        if any(len(t.pairs) >= least and t.must <= mine and len(t.pairs & mine) >= L.LEAST_SHARED * len(t.pairs) for t in known[best]):
+            found.append((names[best], a, b, share))
+            doubted -= set(range(a, b))
+        elif not least:
+            doubted.add(a)
+    return sorted({f for f, *_ in found}), sorted(a for _, a, _, _ in found), len(doubted), max((s for *_, s in found), default=0.0), len(lines)
+
+
+def odd_licence_texts(rng):
+    notices = [p.format(n) for p in L.PATTERNS[:6] for own in L.FAMILIES.values() for n in own[:2]]
+    bodies = [b for own in L.BODIES.values() for b in own]
+    other = ["the river ran over the old stones", "see version 3 of the form", "-- * --", "", "", "MIT", "License: unknown to us"]
+    for _ in range(120):
+        lines = []
+        for _ in range(rng.integers(0, 9)):
+            kind = rng.random()
+            text = rng.choice(notices) if kind < 0.3 else rng.choice(bodies) if kind < 0.45 else rng.choice(other)
+            if len(text) > 40 and rng.random() < 0.5:
+                lines += textwrap.wrap(str(text), int(rng.integers(25, 70)))
+            else:
+                lines.append(str(text))
+        yield "\n".join(lines)
+
+
+def test_scan_equals_unit_by_unit(spark):
+    """Scoring and confirmation against a plain version, text by text, on made texts and on the given table."""
+    given = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").filter("length(text) < 3000").limit(60).collect()]
+    texts = [None, "", "!!", *odd_licence_texts(np.random.default_rng(4)), *given]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    able = docs.filter("octet_length(coalesce(text, '')) <= 65536").orderBy("doc_id").limit(L.NEGATIVE_DOCS)
+    got = {r.doc_id: r for r in L.scan(docs.repartition(3)).collect()}
+    assert able.count() == len(texts) <= L.NEGATIVE_DOCS  # all of them are the sample
+    model, known = L.fitted(L.negatives(texts)), L.templates()
+    for k, t in enumerate(texts):
+        families, places, doubted, most, n = plain_scan(t, model, known)
+        r = got[k]
+        assert (r.families, r.paragraphs, r.n_unconfirmed, r.n_paragraphs, r.n_licensed) == (families, places, doubted, n, len(places)), t
+        assert abs(r.probability - most) < 1e-9
+    assert sum(bool(r.families) for r in got.values()) > 40
