@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from prumo.llm.common import discard, materialize
 
-#: Edges that one task joins at most (16 bytes each); more are joined by star steps over many tasks.
-LOCAL_EDGES = 1 << 16
+#: Edges that one task joins at most (16 bytes each): none, so that few edges go the same way as many, by star steps over many tasks.
+LOCAL_EDGES = 0
 
 
 def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,13 +74,13 @@ def _unpack(batches):
 def components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """node, root for every node that isn't the smallest of its component; edges: column blob, see packed().
 
-    Up to local_edges edges, counted first, are joined by one task. More are joined by alternating steps in which every
+    Up to local_edges edges (none unless asked for), counted first, are joined by one task. More are joined by alternating steps in which every
     node points its larger neighbours (large star), then its smaller ones (small star), at its smallest neighbour.
     Smallest neighbours come from a grouped minimum and a join, never from gathered lists, so a node with very many
     neighbours is a skewed join key only. Rounds go on until nothing changes; they are logarithmic in practice.
     """
     held = materialize(edges.select("blob"), "edges")
-    if (held.agg(F.sum(F.length("blob"))).first()[0] or 0) <= 16 * local_edges:
+    if local_edges and (held.agg(F.sum(F.length("blob"))).first()[0] or 0) <= 16 * local_edges:
         return materialize(held.groupBy(F.lit(0).alias("_one")).applyInArrow(_join, "node long, root long"), "roots")
     now = materialize(held.mapInArrow(_unpack, "u long, v long").filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     discard(held)
