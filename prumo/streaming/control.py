@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 
 def _slices(df: DataFrame, key: str, ts: str, hours: int) -> DataFrame:
-    """df with _slice: the row's stretch of `hours` hours, so that a window over (key, slice) splits a key of any size."""
-    return df.withColumn("_slice", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (3_600_000_000 * hours)))
+    """df with _slice: the row's stretch of `hours` hours, so that a window over (key, slice) splits a key of any size; rows without a
+    time come first."""
+    return df.withColumn("_slice", F.coalesce(F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (3_600_000_000 * hours)), F.lit(-(1 << 62))))
 
 
 def rolling_sum(df: DataFrame, key: str, ts: str, value: str, interval: str, out: str, hours: int = 24) -> DataFrame:
@@ -45,7 +46,9 @@ def _numbered(df: DataFrame, key: str, order: list[str], ts: str, counted: Colum
     own = F.sum("_one").over(W.partitionBy(key, "_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
     sums = cut.groupBy(key, "_slice").agg(F.sum("_one").alias("_n"))
     earlier = F.coalesce(F.sum("_n").over(W.partitionBy(key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return cut.withColumn("_own", own).join(sums.select(key, "_slice", earlier.alias("_before")), [key, "_slice"]).withColumn(out, F.col("_own") + F.col("_before")).drop("_slice", "_one", "_own", "_before")
+    before = sums.select(F.col(key).alias("_k"), F.col("_slice").alias("_s"), earlier.alias("_before"))
+    joined = cut.withColumn("_own", own).join(before, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_slice") == F.col("_s")))
+    return joined.withColumn(out, F.col("_own") + F.col("_before")).drop("_slice", "_one", "_own", "_before", "_k", "_s")
 
 
 def runs(df: DataFrame, key: str, order: list[str], flag: Column, least: int, ts: str, hours: int = 24) -> DataFrame:
