@@ -29,12 +29,12 @@ def _pick(n, *texts):
 # text
 
 
-@query("""SELECT p_partkey, lower(translate(p_type, ' ', ' ')) || ' no ' || p_partkey || ' acao ' || lower(p_brand) AS key FROM part""".replace("lower(p_brand)", "trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g'))").replace("lower(translate(p_type, ' ', ' '))", "trim(regexp_replace(lower(p_type), '[^a-z0-9]+', ' ', 'g'))"))
+@query(r"""SELECT p_partkey, trim(regexp_replace(lower(p_type), '[^a-z0-9]+', ' ', 'g')) || ' no ' || p_partkey || ' acao ' || trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g')) AS key FROM part""")
 def alnum_keys(spark, sf):
     """Letters and digits only, ordinals in their plain form, single spaces."""
     p = table(spark, sf, "part")
-    written = F.concat(F.lit(" "), F.upper("p_type"), F.lit(" / Nº"), F.col("p_partkey").cast("string"), F.lit(" -- (Ação) "), "p_brand", F.lit("!"))
-    return p.select("p_partkey", F.regexp_replace(text.alnum_key(F.regexp_replace(written, "Nº", "Nº ")), " +", " ").alias("key"))
+    written = F.concat(F.lit(" "), F.upper("p_type"), F.lit(" / Nº "), F.col("p_partkey").cast("string"), F.lit(" -- (Ação) "), "p_brand", F.lit("!"))
+    return p.select("p_partkey", text.alnum_key(written).alias("key"))
 
 
 @query("""SELECT s_suppkey, lower(s_name[1:8]) || s_suppkey || CASE s_suppkey % 4 WHEN 0 THEN '.mg.gov.br' WHEN 1 THEN '.sp.gov.br' WHEN 2 THEN '.zz.gov.br' ELSE '.com.br' END AS host,
@@ -67,9 +67,6 @@ def bytes_of_customers(spark, sf):
 
 # rules
 
-_ROLE = "CASE p_partkey % 12 {} END"
-
-
 @query("""SELECT p_partkey, p_partkey % 12 IN (0, 1, 2, 3) AS physician, CASE WHEN p_partkey % 12 IN (4, 5, 6) THEN 'enfermagem' WHEN p_partkey % 12 = 8 THEN 'engenharia' WHEN p_partkey % 12 = 9 THEN 'ti' ELSE 'outra' END AS area,
 p_partkey % 12 IN (0, 2, 4, 5, 7, 10, 11) AS health, p_size % 3 = 0 AS residency, p_size % 3 = 1 AS internal FROM part""")
 def roles_of_parts(spark, sf):
@@ -188,8 +185,7 @@ def reply_lists(spark, sf):
 def reply_list_or_text(spark, sf):
     """A list that some replies hold as JSON and others as a text of JSON."""
     got = extraction.list_or_text(F.when(F.col("reply").startswith("{"), F.col("reply")), "vagas", "cargo string")
-    n = F.size(got)
-    return _replies(spark, sf).select("o_orderkey", F.when(n > 0, n).alias("n")).withColumn("n", F.when(F.col("n").isNotNull(), F.col("n")))
+    return _replies(spark, sf).select("o_orderkey", F.when(F.size(got) > 0, F.size(got)).alias("n"))
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_custkey % 3 < 2 THEN (o_orderkey % 90 + 0.5)::DECIMAL(12,2) END AS taxa, CASE WHEN o_custkey % 3 = 0 THEN CAST(o_orderdate AS DATE) END AS prova, NULL::VARCHAR AS banca FROM orders""")

@@ -112,10 +112,9 @@ def physician_calls_in_documents(spark, sf):
         .when(k == 4, "Chamamento público para credenciamento de candidatos médicos.")
         .when(k == 5, "Convoca para a audiência pública os candidatos e o médico.")
         .when(k == 6, "Convoca os professores aprovados.")
-        .otherwise("Convoca para reunião os médicos. Convocação de candidatos: Pediatra e Médico Veterinário.")
+        .otherwise(F.concat(F.lit("Convoca para reunião os médicos."), F.rpad(F.lit(""), 1200, " -"), F.lit("Convocação de candidatos: Pediatra e Médico Veterinário.")))
     )
-    gap = F.when(k == 7, F.concat(F.lit("Convoca para reunião os médicos."), F.rpad(F.lit(""), 1200, " -"), F.lit("Convocação de candidatos: Pediatra e Médico Veterinário."))).otherwise(act)
-    text = F.concat(gap, F.rpad(F.lit(""), 1200, " -"), F.coalesce("text", F.lit("")))
+    text = F.concat(act, F.rpad(F.lit(""), 1200, " -"), F.coalesce("text", F.lit("")))
     return monitor.physician_calls(table(spark, sf, "documents").select(F.col("doc_id").alias("key"), text.alias("text"))).select("key", "kind", "contest")
 
 
@@ -150,7 +149,7 @@ def phrases_in_documents(spark, sf):
 
 
 @query("""WITH w AS (SELECT DISTINCT p_partkey, string_split(p_name, ' ') AS w FROM part), g AS (SELECT DISTINCT p_partkey, w[i] || ' ' || w[i + 1] AS g FROM w, range(1, 20) r(i) WHERE i < len(w))
-SELECT p_partkey, count(DISTINCT b.p_partkey)::BIGINT AS parts FROM g a JOIN (SELECT p_partkey AS other, g FROM g) b ON a.g = b.g GROUP BY ALL""".replace("b.p_partkey", "b.other"))
+SELECT p_partkey, count(DISTINCT b.other)::BIGINT AS parts FROM g a JOIN (SELECT p_partkey AS other, g FROM g) b ON a.g = b.g GROUP BY ALL""")
 def phrases_of_parts(spark, sf):
     """Parts whose names share a pair of neighbouring words with each part's name."""
     p = table(spark, sf, "part")
