@@ -102,3 +102,18 @@ def test_phrases(spark):
     for i in range(60):
         own = {d for j, d, _ in want if j == i}
         assert by_phrase[i] == (next(iter(own)) if len(own) == 1 else None, len(own))
+
+
+@pytest.mark.parametrize("most", [0, 2, 5])
+def test_sharing(spark, monkeypatch, most):
+    monkeypatch.setattr(phrases, "MOST_SUBSETS", most)
+    rng = random.Random(8)
+    sets = {k: set(rng.sample("abcdefgh", rng.randint(1, 4))) for k in range(60)}
+    own = spark.createDataFrame([(k, p) for k, s in sets.items() for p in s], "k int, p string")
+    assert {tuple(r) for r in phrases.sharing(own, "k", "p", "n").collect()} == {(k, sum(bool(s & t) for t in sets.values())) for k, s in sets.items()}
+
+
+def test_sharing_makes_no_pairs(spark):
+    own = spark.range(20000).select(F.col("id").alias("k"), F.lit("a b").alias("p"))
+    out = phrases.sharing(own, "k", "p", "n")
+    assert out.filter("n = 20000").count() == 20000
