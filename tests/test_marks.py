@@ -117,3 +117,10 @@ def test_sharing_makes_no_pairs(spark):
     own = spark.range(20000).select(F.col("id").alias("k"), F.lit("a b").alias("p"))
     out = phrases.sharing(own, "k", "p", "n")
     assert out.filter("n = 20000").count() == 20000
+
+
+def test_small_rows_are_dealt_out(spark, tmp_path):
+    from prumo.plans import monitor as plans
+
+    spark.range(4000).withColumnRenamed("id", "c_custkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    assert plans.people_of_customers(spark, str(tmp_path)).select(F.spark_partition_id()).distinct().count() == 4
