@@ -5,14 +5,18 @@ from __future__ import annotations
 import re
 import unicodedata
 import uuid
+import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from prumo.functions import text as texts
+from prumo.shared import kept
 
 #: Bytes of names that one automaton holds; more names meet the texts in a join instead.
 MOST_BYTES = 8 << 20
@@ -31,7 +35,11 @@ _FOLDS = _Folds()
 
 
 def fold(text: str) -> str:
-    return text.lower() if text.isascii() else text.translate(_FOLDS)
+    if not text.isascii():
+        for c in set(text):
+            if not c.isascii() and (own := _FOLDS[ord(c)]) != c:
+                text = text.replace(c, own)
+    return text.lower()
 
 
 def flat(text: str) -> str:
@@ -66,16 +74,25 @@ _MARK_TYPES = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.
 _BEFORE = re.compile(r"([^\W\d_]+) $")
 
 
+def _mark(kind: str, id_: int, at: int, until: int, text: str, start: int = 0) -> tuple:
+    """A name's mark; text begins at character `start`."""
+    before = _BEFORE.search(text[max(0, at - start - 40) : at - start])
+    around = text[max(0, at - start - 200) : until - start + 200]
+    return kind, id_, at, until, text[at - start : until - start], before and before[1], sum(map(str.isupper, around)), sum(map(str.isalpha, around))
+
+
+def _stands(low: str, at: int, until: int) -> bool:
+    """Whether low[at:until] is no part of a longer word."""
+    return not (at and _letter(low[at - 1]) or until < len(low) and _letter(low[until]))
+
+
 def _names(finder, whole: bool, low: str, text: str) -> Iterator[tuple]:
     for end, (size, own) in finder.iter(low) if len(finder) else ():
         at, until = end + 1 - size, end + 1
-        if whole and (at and _letter(low[at - 1]) or until < len(low) and _letter(low[until])):
+        if whole and not _stands(low, at, until):
             continue
-        before = _BEFORE.search(text[max(0, at - 40) : at])
-        around = text[max(0, at - 200) : until + 200]
-        upper, letters = sum(map(str.isupper, around)), sum(map(str.isalpha, around))
         for id_, kind in own:
-            yield kind, id_, at, until, text[at:until], before and before[1], upper, letters
+            yield _mark(kind, id_, at, until, text)
 
 
 def _letter(c: str) -> bool:
@@ -92,8 +109,9 @@ def marks(df: DataFrame, key: str, text: str, patterns: dict[str, str], names: D
     match, or for kinds in `around` the original text so many characters before and behind its start. Names have the word before them,
     and how many letters within 200 characters are capitals.
 
-    Names go to the workers as one automaton if they have at most MOST_BYTES (checked); more meet the texts in a join on their first
-    two words, and each text is searched for those that it met.
+    Names go to the workers as one automaton if they have at most MOST_BYTES (checked). More of them, as whole words, meet the places of
+    their first two words in a join; names that may lie in longer words are met by their first characters, and each text is searched
+    for those that it met.
     """
     kind = df.schema[key].dataType.simpleString()
     rules = [(k, re.compile(rx)) for k, rx in patterns.items()]
@@ -122,6 +140,9 @@ def marks(df: DataFrame, key: str, text: str, patterns: dict[str, str], names: D
             if not found:
                 return
             yield from ((own, *m) for m in found)
+        yield from others(own, text, low)
+
+    def others(own, text: str, low: str) -> Iterator[tuple]:
         for end, kinds in pieces().iter(low) if stems else ():
             for k, size in kinds:
                 yield own, k, None, end + 1 - size, end + 1, low[end + 1 - size : end + 1], None, None, None
@@ -161,25 +182,113 @@ def marks(df: DataFrame, key: str, text: str, patterns: dict[str, str], names: D
         for batch in batches:
             yield rows(batch, [m for r in batch.to_pylist() for m in scan(r["_key"], _automaton("", [(x["id"], x["kind"], fold(flat(x["term"]))) for x in r["_terms"]]), r["_text"])])
 
+    if whole:
+        return _of_heads(df, key, text, known, others, kind)
     own = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    met = _meet(own, "_key", "_text", known, whole).groupBy("_key").agg(F.collect_list(F.struct("id", "kind", "term")).alias("_terms"))
+    met = _meet(own, "_key", "_text", known).groupBy("_key").agg(F.collect_list(F.struct("id", "kind", "term")).alias("_terms"))
     return own.join(met, "_key").mapInArrow(search_own, schema)
 
 
-def _meet(df: DataFrame, key: str, text: str, names: DataFrame, whole: bool) -> DataFrame:
-    """key, id, kind, term: names whose first two words (or one) follow each other in the text; where names may lie in longer words, that
-    begin with the same three characters (or fewer) as some place of the text."""
-    if not whole:
-        folded = df.select(key, texts.fold_keep(F.col(text)).alias("_low"))
-        places = F.sequence(F.lit(1), F.greatest(F.length("_low"), F.lit(1)))
-        cuts = [F.transform(places, lambda i: F.substring(F.col("_low"), i, F.lit(n))) for n in (1, 2, 3)]  # noqa: B023
-        return folded.select(key, F.explode(F.array_distinct(F.concat(*cuts))).alias("_g")).join(names.withColumn("_g", F.substring(texts.fold_keep(F.col("term")), 1, 3)), "_g").drop("_g")
-    split = lambda c: F.filter(F.split(texts.fold_keep(c), "[^a-z0-9]+"), lambda w: w != "")
-    words = df.select(key, split(F.col(text)).alias("_w"))
-    pairs = F.zip_with("_w", F.slice("_w", F.lit(2), F.greatest(F.size("_w"), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
-    grams = words.select(key, F.explode(F.array_distinct(F.array_compact(F.concat("_w", pairs)))).alias("_g"))
-    own = split(F.col("term"))
-    return grams.join(names.withColumn("_g", F.array_join(F.slice(own, 1, 2), " ")), "_g").drop("_g")
+#: Bits of one block of the filter of heads, as Spark's bitmap aggregates have them, and bits of the filter at most (32 MB; more heads
+#: let more places through, which the join then drops).
+_BLOCK, _MOST_BITS = 1 << 15, 1 << 28
+_WORD = re.compile("[a-z0-9]+")
+
+
+def _bits(head: str, size: int) -> tuple[int, int]:
+    """The two bits of a head in a filter of 2 ** size bits."""
+    n = zlib.crc32(head.encode())
+    return n & ((1 << size) - 1), (n * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - size)
+
+
+def _headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, kind, term (folded), head (its first two words, or its one), skip (characters before them); terms without a word have none."""
+    for batch in batches:
+        out = []
+        for id_, kind, term in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            low = fold(flat(term))
+            if words := list(islice(_WORD.finditer(low), 2)):
+                out.append((id_, kind, low, " ".join(w[0] for w in words), words[0].start()))
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32()), strict=True)], ["id", "kind", "term", "head", "skip"])
+
+
+def _of_heads(df: DataFrame, key: str, text: str, known: DataFrame, others, key_type: str) -> DataFrame:
+    """Marks of texts with any of many names, sought as whole words (see marks).
+
+    A Bloom filter of the names' heads (first two words, or the one) goes to the workers. One pass over the texts finds the places
+    where a head may stand and writes each with the text around it, besides the other marks of such texts; places then meet the
+    names by their head, and each pair is compared. So texts are neither dealt out nor read again, only places are.
+    """
+    spark = df.sparkSession
+    names = kept(known.select("id", "kind", "term").mapInArrow(_headed, "id long, kind string, term string, head string, skip int"), "names")
+    n, longest, skip, single = names.agg(F.approx_count_distinct("head"), F.max(F.length("term")), F.max("skip"), F.bool_or(~F.contains("head", F.lit(" ")))).first()
+    size = min(max(64 * (n or 1), _BLOCK).bit_length(), _MOST_BITS.bit_length() - 1)
+
+    def set_bits(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b for head in batch.column(0).to_pylist() for b in _bits(head, size)], pa.int64())], ["bit"])
+
+    blocks = names.select("head").mapInArrow(set_bits, "bit long").groupBy(F.floor(F.col("bit") / _BLOCK).alias("block")).agg(F.bitmap_construct_agg(F.col("bit") % _BLOCK).alias("bits"))
+    filled = bytearray((1 << size) // 8)
+    for block, bits in blocks.toLocalIterator():
+        filled[block * _BLOCK // 8 : (block + 1) * _BLOCK // 8] = bits
+    held = spark.sparkContext.broadcast(bytes(filled))
+    low_bits, shift, left, right = (1 << size) - 1, 32 - size, 201 + (skip or 0), 201 + (longest or 0)
+
+    def heads(low: str, filter_: bytes) -> Iterator[tuple[int, str]]:
+        """Places where heads may stand."""
+        crc, last, at = zlib.crc32, "", 0
+        for word in _WORD.finditer(low):
+            own = word[0]
+            for head in ((f"{last} {own}",) if not single else (f"{last} {own}", own)) if last else (own,) if single else ():
+                n = crc(head.encode())
+                b, c = n & low_bits, (n * 0x9E3779B1 & 0xFFFFFFFF) >> shift
+                if filter_[b >> 3] >> (b & 7) & 1 and filter_[c >> 3] >> (c & 7) & 1:
+                    yield (word.start() if head is own else at), head
+            last, at = own, word.start()
+
+    def places(batches):
+        filter_, number = held.value, TaskContext.get().partitionId() << 33
+        for batch in batches:
+            found = []
+            for own, said in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                number += 1
+                said = flat(said or "")
+                low = fold(said)
+                some = [(number, own, None, None, at, None, head, None, None, None, said[max(0, at - left) : at + right]) for at, head in heads(low, filter_)]
+                if some:
+                    found += some
+                    found += [(number, *m, None) for m in others(own, said, low)]
+            columns = list(zip(*found, strict=True)) or [[]] * 11
+            kinds = [pa.int64(), batch.schema.field(0).type, *_MARK_TYPES, pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["number", "key", "kind", "id", "at", "until", "said", "before", "upper", "letters", "near"])
+
+    def compare(batches):
+        for batch in batches:
+            found = []
+            for number, own, at, near, id_, kind, term, gone in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                low, start = fold(near), max(0, at - left)
+                begin = at - gone - start
+                if begin >= 0 and low.startswith(term, begin) and _stands(low, begin, begin + len(term)):
+                    found.append((number, own, *_mark(kind, id_, at - gone, at - gone + len(term), near, start)))
+            columns = list(zip(*found, strict=True)) or [[]] * 10
+            kinds = [pa.int64(), batch.schema.field(1).type, *_MARK_TYPES]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["number", "key", "kind", "id", "at", "until", "said", "before", "upper", "letters"])
+
+    seen = kept(df.select(key, text).mapInArrow(places, f"number long, key {key_type}, {_MARK}, near string"), "places")
+    met = seen.filter("kind is null").select("number", "key", "at", F.col("said").alias("head"), "near").join(names, "head")
+    own = kept(met.select("number", "key", "at", "near", "id", "kind", "term", "skip").mapInArrow(compare, f"number long, key {key_type}, {_MARK}"), "names-found")
+    beside_them = seen.filter("kind is not null").drop("near").join(own.select("number").distinct(), "number", "left_semi")
+    return own.unionByName(beside_them).drop("number")
+
+
+def _meet(df: DataFrame, key: str, text: str, names: DataFrame) -> DataFrame:
+    """key, id, kind, term: names that may lie in longer words and begin with the same three characters (or fewer) as some place of the text."""
+    folded = df.select(key, texts.fold_keep(F.col(text)).alias("_low"))
+    places = F.sequence(F.lit(1), F.greatest(F.length("_low"), F.lit(1)))
+    cuts = [F.transform(places, lambda i: F.substring(F.col("_low"), i, F.lit(n))) for n in (1, 2, 3)]  # noqa: B023
+    return folded.select(key, F.explode(F.array_distinct(F.concat(*cuts))).alias("_g")).join(names.withColumn("_g", F.substring(texts.fold_keep(F.col("term")), 1, 3)), "_g").drop("_g")
 
 
 def beside(anchors: DataFrame, others: DataFrame, reach: int, facts: dict[str, Column]) -> DataFrame:

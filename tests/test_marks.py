@@ -124,3 +124,30 @@ def test_small_rows_are_dealt_out(spark, tmp_path):
 
     spark.range(4000).withColumnRenamed("id", "c_custkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
     assert plans.people_of_customers(spark, str(tmp_path)).select(F.spark_partition_id()).distinct().count() == 4
+
+
+def test_fold_is_character_by_character():
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x20000)]))
+    assert marks.fold(every) == every.translate(marks._FOLDS)
+    assert marks.fold("ΟΔΟΣ İx ÇÃO") == "οδοσ ix cao"
+
+
+def test_ranks():
+    import re
+
+    slow = re.compile(r"(?<!\d)\d{1,5}\s*[ºo°ª](?!\w)|(?:classificacao|colocacao|lugar)\D{0,12}\d{1,5}")
+    rng = random.Random(9)
+    for _ in range(4000):
+        text = "".join(rng.choice(["1", "23", "º", "o", "ª", " ", "classificacao", "colocacao", "lugar", "c", "l", "x", ": "]) for _ in range(rng.randint(0, 25)))
+        assert [m.span() for m in re.finditer(monitor.NAME_MARKS["rank"], text)] == [m.span() for m in slow.finditer(text)]
+
+
+def test_many_names_deal_out_no_texts(spark, monkeypatch):
+    """Names beyond MOST_BYTES: only places meet names, so texts without any don't leave their scan; equal keys are texts of their own."""
+    monkeypatch.setattr(marks, "MOST_BYTES", 0)
+    docs = spark.createDataFrame([(1, "x " * 3000 + "(Ana) D'Ávila, 3º"), (1, "4º lugar"), (2, "ana 5º"), (3, None)], "id int, at string")
+    names = spark.createDataFrame([(7, "n", " ana) d'avila"), (8, "n", "ana d'avila"), (9, "n", "avila")], "id int, kind string, term string")
+    out = marks.marks(docs, "id", "at", {"rank": r"\d"}, names)
+    got = sorted((r.key, r.kind, r.id or 0, r.at, r.before) for r in out.collect())
+    assert got == [(1, "n", 7, 6001, None), (1, "n", 9, 6008, None), (1, "rank", 0, 6015, None)]
+    assert "Generate" not in out._jdf.queryExecution().toString()
