@@ -151,3 +151,21 @@ def test_many_names_deal_out_no_texts(spark, monkeypatch):
     got = sorted((r.key, r.kind, r.id or 0, r.at, r.before) for r in out.collect())
     assert got == [(1, "n", 7, 6001, None), (1, "n", 9, 6008, None), (1, "rank", 0, 6015, None)]
     assert "Generate" not in out._jdf.queryExecution().toString()
+
+
+def test_few_phrases_deal_out_their_words_only(spark):
+    docs = spark.range(2000).select(F.col("id").alias("doc"), F.concat_ws(" ", F.lit("a b"), *(F.concat(F.lit(f"w{i}x"), "id") for i in range(20))).alias("text"))
+    asked = spark.createDataFrame([(1, ["a", "b"]), (2, ["b", "a"])], "p int, words array<string>")
+    index = phrases.postings(docs, "doc", phrases.plain_words(F.col("text")))
+    out = phrases.occurrences(index, "doc", asked, "p", F.col("words"))
+    assert {r.p: r["count"] for r in out.groupBy("p").count().collect()} == {1: 2000}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [word" not in plan and "BroadcastHashJoin [word" in plan
+
+
+def test_excerpts_stay_out_of_joins_of_marks(spark):
+    docs = spark.createDataFrame([(1, "Nomeia aprovado no concurso: médico. " * 2), (2, "Convoca os aprovados: pediatra."), (3, "Convoca.")], "key long, text string")
+    out = monitor.physician_calls(docs)
+    assert sorted((r.key, r.kind, r.excerpt[:16]) for r in out.collect()) == [(1, "nomeacao", "Nomeia aprovado "), (2, "convocacao", "Convoca os aprov")]
+    plan = out.drop("excerpt")._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Aggregate [key" in line and "said" in line.split("],")[0]]
