@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from prumo.plans.common import table
+from prumo.shared import spread
 from prumo.sources import html_tree as tree
 from prumo.sources.html_tree import element
 
@@ -63,7 +64,7 @@ def html_tree_descendants(spark, sf):
 def _orders(spark, sf):
     """Each customer's orders as an array by order key."""
     o = F.struct("o_orderkey", F.col("o_orderkey").cast("string").alias("key"), "o_orderstatus")
-    return table(spark, sf, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(o)).alias("orders"))
+    return spread(table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), "o_custkey").groupBy("o_custkey").agg(F.array_sort(F.collect_list(o)).alias("orders"))
 
 
 @query("""SELECT o_custkey, o_custkey::VARCHAR AS client, NULL::VARCHAR AS pedido, NULL::VARCHAR AS status FROM orders GROUP BY ALL

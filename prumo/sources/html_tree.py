@@ -10,12 +10,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from prumo.shared import spread
+
 TEXT = "#text"
 
 # Fixed values of the HTML standard: elements without content, with raw text, and with text but no elements inside.
@@ -140,7 +143,12 @@ class Nodes:
             self._add(TEXT, None, unescape(text))
 
 
-def _batches(batches: Iterator[pa.RecordBatch], row_type: pa.DataType, rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+#: Rows of one batch that goes back to the JVM at least (so that rows don't go one table at a time, nor all in one), and pages that
+#: are Python objects at once.
+_ROWS, _PAGES = 1 << 13, 16
+
+
+def _batches(batches: Iterator[pa.RecordBatch], row_type: pa.DataType, rows: int = _ROWS) -> Iterator[pa.RecordBatch]:
     """A batch for each few pages, so that many nodes never stand in one."""
     kinds = {"pre": pa.int32(), "last": pa.int32(), "parent": pa.int32(), "level": pa.int32(), "place": pa.int32(), "tag": pa.string(), "attributes": pa.map_(pa.string(), pa.string()), "text": pa.string(), "table": pa.int32(), "row": pa.int32(), "cell": pa.int32()}
 
@@ -149,8 +157,8 @@ def _batches(batches: Iterator[pa.RecordBatch], row_type: pa.DataType, rows: int
         return pa.RecordBatch.from_arrays(arrays, ["key", *kinds])
 
     key, columns = [], {c: [] for c in kinds}
-    for batch in batches:
-        for own, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+    for some in (batch.slice(n, _PAGES) for batch in batches for n in range(0, batch.num_rows, _PAGES)):
+        for own, html in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
             tree = Nodes(html or "")
             n = len(tree.tag)
             key += [own] * n
@@ -275,8 +283,9 @@ def grid(tree: DataFrame, key: str) -> DataFrame:
     """
     kind = tree.schema[key].dataType.simpleString()
     own = tree.filter(element(["tr", "td", "th"]) | (F.col("tag") == TEXT)).filter("`table` is not null")
-    item = F.struct("pre", "tag", "row", "cell", "text", _span("rowspan", 65534).alias("rowspan"), _span("colspan", 1000).alias("colspan"))
-    tables = own.groupBy(key, "table").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    cell = F.col("tag").isin(*_CELLS)
+    items = own.select(key, "table", "pre", "tag", "row", "cell", "text", F.when(cell, _span("rowspan", 65534)).alias("rowspan"), F.when(cell, _span("colspan", 1000)).alias("colspan"))
+    tables = spread(items, key, "table").sortWithinPartitions(key, "table", "pre")
     return tables.mapInArrow(_laid_out, f"`{key}` {kind}, table int, row int, col int, origin boolean, header boolean, value string")
 
 
@@ -305,14 +314,30 @@ def _lay_out(items: list[dict], table: int) -> Iterator[tuple[int, int, bool, bo
 
 
 def _laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = {"row": pa.int32(), "col": pa.int32(), "origin": pa.bool_(), "header": pa.bool_(), "value": pa.string()}
-    for batch in batches:
-        for n in range(batch.num_rows):
-            table = batch.column(1)[n].as_py()
-            places = list(zip(*_lay_out(batch.column(2)[n].as_py(), table), strict=True))
-            if places:
-                keys = pa.array([batch.column(0)[n].as_py()] * len(places[0]), batch.schema.field(0).type)
-                yield pa.RecordBatch.from_arrays([keys, pa.array([table] * len(places[0]), pa.int32()), *(pa.array(c, k) for c, k in zip(places, kinds.values(), strict=True))], [batch.schema.names[0], "table", *kinds])
+    """Places of tables; nodes come in order, those of one table together."""
+    kinds = {"table": pa.int32(), "row": pa.int32(), "col": pa.int32(), "origin": pa.bool_(), "header": pa.bool_(), "value": pa.string()}
+    schema: pa.Schema | None = None
+    places: list[tuple] = []
+
+    def items() -> Iterator[tuple]:
+        nonlocal schema
+        for batch in batches:
+            schema = batch.schema
+            for some in (batch.slice(n, _ROWS) for n in range(0, batch.num_rows, _ROWS)):
+                yield from zip(*(c.to_pylist() for c in some.columns), strict=True)
+
+    def flush() -> pa.RecordBatch:
+        columns = zip(zip(*places, strict=True), [schema.field(0).type, *kinds.values()], strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], [schema.names[0], *kinds])
+
+    for (own, table), nodes_ in groupby(items(), key=lambda x: x[:2]):
+        for place in _lay_out([dict(zip(schema.names[2:], x[2:], strict=True)) for x in nodes_], table):
+            places.append((own, table, *place))
+            if len(places) >= _ROWS:
+                yield flush()
+                places = []
+    if places:
+        yield flush()
 
 
 def records(cells: DataFrame, key: str, wanted: dict[str, list[str]]) -> DataFrame:

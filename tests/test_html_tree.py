@@ -204,3 +204,21 @@ def test_deep_and_long():
     assert deep.level[-1] == 3000 and deep.last[0] == 3000
     flat = Nodes("<p>x" * 50_000)
     assert len(flat.tag) == 100_000 and max(flat.level) == 1
+
+
+def test_tables_over_many_batches(spark):
+    """Tables larger and smaller than a batch; places go back in few batches."""
+    pages = [(k, "<table>" + "".join(f"<tr><td>{k}<td colspan=2>{i}" for i in range(n)) + "</table>") for k, n in enumerate([1, 6000, 2, 0, 3, 9000])]
+    got = tree.grid(tree.nodes(spark.createDataFrame(pages, "k int, html string"), "k", "html"), "k").collect()
+    want = [(k, r, c, str(k) if c == 0 else str(r)) for k, n in enumerate([1, 6000, 2, 0, 3, 9000]) for r in range(n) for c in range(3)]
+    assert sorted((x.k, x.row, x.col, x.value) for x in got) == want
+
+
+def test_batches_stay_small():
+    import pyarrow as pa
+
+    one = pa.RecordBatch.from_arrays([pa.array(range(4000)), pa.array(["<p>a<p>b<p>c"] * 4000)], ["k", "h"])
+    assert max(b.num_rows for b in tree._batches(iter([one]), pa.int64())) <= 8200
+    cells = pa.RecordBatch.from_pylist([{"k": k // 3, "table": 0, "pre": 1 + k % 3, "tag": ["tr", "td", TEXT][k % 3], "row": [None, 1, 1][k % 3], "cell": [None, None, 2][k % 3], "text": [None, None, "x"][k % 3], "rowspan": 1, "colspan": 1} for k in range(3000)])
+    out = list(tree._laid_out(iter([cells.slice(0, 1000), cells.slice(1000)])))
+    assert [b.num_rows for b in out] == [1000] and set(out[0].column("value").to_pylist()) == {"x"}
