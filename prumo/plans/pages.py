@@ -102,7 +102,8 @@ def html_tree_labels(spark, sf):
     b = F.concat(F.lit("<dl><dt>NOME<dd>"), name, F.lit("<dt>segmento:<dd>"), segment, F.lit("<dd>more<dt>none<dt>país<dd>"), nation, F.lit("<dt>nome<dd>other</dl>"))
     c = F.concat(F.lit("<table><tr><td>Nome:<td>"), name, F.lit("<tr><td>a<td>b<td>c<tr><td>Segmento<td>"), segment, F.lit("<tr><th>País<td>"), nation, F.lit("</table>"))
     kind = F.col("c_custkey") % 3
-    pages = table(spark, sf, "customer").withColumn("page", F.when(kind == 0, a).when(kind == 1, b).otherwise(c))
+    customers = spread(table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey"), "c_custkey")
+    pages = customers.withColumn("page", F.when(kind == 0, a).when(kind == 1, b).otherwise(c))
     said = tree.labelled(tree.nodes(pages, "c_custkey", "page"), "c_custkey")
     picked = (F.max(F.when(F.lower("label") == x, F.col("value"))).alias(n) for x, n in (("nome", "nome"), ("segmento", "segmento"), ("país", "pais")))
     return said.groupBy("c_custkey").agg(*picked)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from prumo.shared import spread
+from prumo.shared import kept, spread
 
 TEXT = "#text"
 
@@ -357,6 +357,7 @@ def records(cells: DataFrame, key: str, wanted: dict[str, list[str]]) -> DataFra
 def labelled(tree: DataFrame, key: str) -> DataFrame:
     """key, at, label, value of what a page says by label: a <label> and the element after it, a <dt> and its <dd>, and table rows
     of two cells. Colons at a label's end are dropped; empty labels are left out; the first of equal labels counts."""
+    tree = kept(tree.select(key, "pre", "last", "parent", "tag", "text", "row"), "nodes")  # pages are parsed once, not by each join
     elements = tree.filter(element())
     after = F.lead(F.struct("tag", "pre")).over(W.partitionBy(key, "parent").orderBy("pre"))
     in_row = W.partitionBy(key, "row", F.col("tag").isin(*_CELLS))
