@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from prumo.plans.common import table
-from prumo.shared import spread
+from prumo.shared import kept, spread
 from prumo.sources import html_tree as tree
 from prumo.sources.html_tree import element
 
@@ -44,7 +44,7 @@ t AS (SELECT page_id, nth, list_filter(list_transform(regexp_split_to_array(part
 SELECT page_id, nth, CASE WHEN len(said) > 0 THEN {_PLAIN.format("array_to_string(said, ' ')")} END AS said FROM t""")
 def html_tree_paragraphs(spark, sf):
     """Paragraphs of articles, most without end tags and with elements left open inside."""
-    t = tree.nodes(table(spark, sf, "pages"), "page_id", "html")
+    t = kept(tree.nodes(table(spark, sf, "pages"), "page_id", "html").drop("attributes"), "nodes")
     paragraphs = tree.path(t, "page_id", [element("article"), ">", element("p")])
     said = tree.texts(t, "page_id", paragraphs, "said")
     nth = F.expr("row_number() over (partition by page_id order by pre)").cast("long").alias("nth")
