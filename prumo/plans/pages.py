@@ -83,7 +83,7 @@ def html_tree_nested(spark, sf):
 @query("SELECT o_custkey, o_orderstatus AS status, o_orderkey AS key FROM orders")
 def html_tree_grid(spark, sf):
     """A status that spans the rows of its orders, under a title that spans both columns."""
-    groups = table(spark, sf, "orders").groupBy("o_custkey", "o_orderstatus").agg(F.sort_array(F.collect_list(F.col("o_orderkey").cast("string"))).alias("keys"))
+    groups = spread(table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), "o_custkey").groupBy("o_custkey", "o_orderstatus").agg(F.sort_array(F.collect_list(F.col("o_orderkey").cast("string"))).alias("keys"))
     first = F.concat(F.lit("<td rowspan="), F.size("keys").cast("string"), F.lit(">"), "o_orderstatus", F.lit("</td>"))
     rows = F.array_join(F.transform("keys", lambda k, i: F.concat(F.lit("<tr>"), F.when(i == 0, first).otherwise(""), F.lit("<td>"), k, F.lit("</td></tr>"))), "")
     pages = groups.withColumn("rows", rows).groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_list("rows")), "").alias("rows"))
