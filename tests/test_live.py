@@ -105,3 +105,60 @@ def test_late_and_odd_rows(spark, tmp_path):
     put([(6, at(9000), "a", None, 4.0)])
     run()
     assert sorted((r.id, r.spent) for r in spark.read.parquet(out).collect()) == [(1, 2.0), (1, 2.0), (3, 2.0), (5, 3.0)]
+
+
+class Counting:
+    """A list state of one key that counts its calls."""
+
+    def __init__(self):
+        self.elements, self.calls = [], 0
+
+    def appendValue(self, element):
+        self.calls += 1
+        self.elements.append(element)
+
+
+def test_rows_reach_operators_and_state_in_packs(spark, tmp_path):
+    """Each row by itself was one element of the state, and one value of the operator's input."""
+    src, out, mark = (str(tmp_path / x) for x in ("src", "out", "mark"))
+    rows = spark.range(30_000).selectExpr("id AS event_id", "timestamp'2024-03-01' + make_interval(0, 0, 0, 0, 0, 0, id % 900) AS ts", "CAST(id % 3 AS string) AS user", "'ok' AS kind", "CAST(1 AS double) AS value")
+    rows.coalesce(1).write.parquet(src)
+    query = live.budget(spark.readStream.schema(SCHEMA).parquet(src), "user", "ts", "event_id", "value", HOUR, "2 hours")
+    live.run_to_parquet(query, out, mark)  # nothing is settled, all rows wait
+    held = spark.read.format("statestore").option("path", mark).option("stateVarName", "held").load().selectExpr("size(list_element.at) AS n").collect()
+    assert len(held) <= 12 and sum(r.n for r in held) == 30_000
+    spark.createDataFrame([(30_000, START + dt.timedelta(days=1), "z", "ok", 0.0)], SCHEMA).write.mode("append").parquet(src)
+    live.run_to_parquet(query, out, mark)
+    got = {r.event_id: r.spent for r in spark.read.parquet(out).withColumnRenamed("id", "event_id").collect()}
+    # 3 users by turns, 900 seconds: each user has 300 seconds of its own, and at most 34 events in each
+    seconds = {}
+    for i in range(30_000):
+        seconds.setdefault(i % 3, {}).setdefault(i % 900, []).append(i)
+    for own in seconds.values():
+        spent = 0.0
+        for s in sorted(own):
+            spent += len(own[s])
+            assert all(got[i] == spent for i in own[s])
+
+
+def test_packs_that_come_partly_late():
+    operator, timers = live.Budget(1_000_000), []
+    operator.width, operator.held = 3, Counting()
+    operator.handle = type("Handle", (), {"registerTimer": staticmethod(timers.append)})
+    values = type("Timers", (), {"getCurrentWatermarkInMs": staticmethod(lambda: 5)})
+    packs = [("k", None, [5000, 7000, 5001], [1, 2, 3], [1.0, None, 2.0]), ("k", None, [9000], [4], [1.0]), ("k", None, [4000], [5], [1.0])]
+    list(operator.handleInputRows(("k",), iter(packs), values))
+    assert operator.held.elements == [([7000, 5001], [2, 3], [None, 2.0]), ([9000], [4], [1.0])]
+    assert timers == [5]
+
+
+def test_sums_of_full_windows_and_odd_values(spark, tmp_path):
+    """Rows of the same time and id, one without a value; values that are no numbers while they are in the window; sums that are exact."""
+    src, out, mark = (str(tmp_path / x) for x in ("src", "out", "mark"))
+    at = lambda s: START + dt.timedelta(seconds=s)
+    rows = [(1, at(0), "a", None, 1e16), (1, at(0), "a", None, None), (None, at(0), "a", None, 1.0), (2, at(10), "a", None, float("inf")), (3, at(20), "a", None, 1.0), (4, at(3601), "a", None, -1e-3), (5, at(3611), "a", None, 0.1), (6, at(9000), "z", None, 0.0)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(src)
+    live.run_to_parquet(live.budget(spark.readStream.schema(SCHEMA).parquet(src), "user", "ts", "event_id", "value", HOUR, "0 seconds"), out, mark)
+    got = sorted(((r.id or 0, r.spent) for r in spark.read.parquet(out).collect()))
+    first = 1e16 + 1
+    assert got == [(0, first), (1, first), (1, first), (2, float("inf")), (3, float("inf")), (4, float("inf")), (5, 1.0 - 1e-3 + 0.1), (6, 0.0)]
