@@ -201,6 +201,21 @@ def _bits(head: str, size: int) -> tuple[int, int]:
     return n & ((1 << size) - 1), (n * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - size)
 
 
+def bloom(heads: DataFrame, n: int) -> tuple[int, bytes]:
+    """A Bloom filter of the first column of heads, of which about n differ: of 2 ** size bits, and its bytes. See _bits."""
+    size = min(max(64 * n, _BLOCK).bit_length(), _MOST_BITS.bit_length() - 1)
+
+    def set_bits(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b for head in batch.column(0).to_pylist() for b in _bits(head, size)], pa.int64())], ["bit"])
+
+    blocks = heads.mapInArrow(set_bits, "bit long").groupBy(F.floor(F.col("bit") / _BLOCK).alias("block")).agg(F.bitmap_construct_agg(F.col("bit") % _BLOCK).alias("bits"))
+    filled = bytearray((1 << size) // 8)
+    for block, bits in blocks.toLocalIterator():
+        filled[block * _BLOCK // 8 : (block + 1) * _BLOCK // 8] = bits
+    return size, bytes(filled)
+
+
 def _headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """id, kind, term (folded), head (its first two words, or its one), skip (characters before them); terms without a word have none."""
     for batch in batches:
@@ -223,17 +238,8 @@ def _of_heads(df: DataFrame, key: str, text: str, known: DataFrame, others, key_
     spark = df.sparkSession
     names = kept(known.select("id", "kind", "term").mapInArrow(_headed, "id long, kind string, term string, head string, skip int"), "names")
     n, longest, skip, single = names.agg(F.approx_count_distinct("head"), F.max(F.length("term")), F.max("skip"), F.bool_or(~F.contains("head", F.lit(" ")))).first()
-    size = min(max(64 * (n or 1), _BLOCK).bit_length(), _MOST_BITS.bit_length() - 1)
-
-    def set_bits(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([b for head in batch.column(0).to_pylist() for b in _bits(head, size)], pa.int64())], ["bit"])
-
-    blocks = names.select("head").mapInArrow(set_bits, "bit long").groupBy(F.floor(F.col("bit") / _BLOCK).alias("block")).agg(F.bitmap_construct_agg(F.col("bit") % _BLOCK).alias("bits"))
-    filled = bytearray((1 << size) // 8)
-    for block, bits in blocks.toLocalIterator():
-        filled[block * _BLOCK // 8 : (block + 1) * _BLOCK // 8] = bits
-    held = spark.sparkContext.broadcast(bytes(filled))
+    size, filled = bloom(names.select("head"), n or 1)
+    held = spark.sparkContext.broadcast(filled)
     low_bits, shift, left, right = (1 << size) - 1, 32 - size, 201 + (skip or 0), 201 + (longest or 0)
 
     def heads(low: str, filter_: bytes) -> Iterator[tuple[int, str]]:

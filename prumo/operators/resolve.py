@@ -3,36 +3,96 @@
 from __future__ import annotations
 
 import unicodedata
+import zlib
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from prumo.functions import text as texts
-from prumo.operators.marks import marks
+from prumo.operators.marks import bloom, marks
+from prumo.shared import kept
 
 
-def word_grams(df: DataFrame, keys: list[str], text: Column, lengths: list[int]) -> DataFrame:
-    """keys, place (from 1), gram: every run of n words for n in lengths, from one pass over the texts."""
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    every = []
-    for n in lengths:
-        gram = words
-        for k in range(1, n):  # append the word k places on; past the end that gives null
-            gram = F.zip_with(gram, F.slice(words, k + 1, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
-        every.append(F.transform(gram, lambda g, i: F.struct((i + 1).alias("place"), g.alias("gram"))))
-    return df.select(*keys, F.explode(F.concat(*every)).alias("_g")).select(*keys, "_g.*").filter("gram is not null")
+#: White space as \s has it in Spark's expressions, and first words that a worker remembers.
+_SPACES, _REMEMBERED = "\t\n\x0b\f\r", 1 << 18
+
+
+class _Begins(dict):
+    """Whether a term may begin with a word, worked out as words come."""
+
+    def __init__(self, may):
+        self.may = may
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) >= _REMEMBERED:
+            self.clear()
+        self[word] = own = self.may(word)
+        return own
+
+
+def _terms_in(text: str, begins: _Begins, lengths: list[int]) -> dict[str, int]:
+    """Runs of words that may be terms, each with the number (from 1) of its first word where it first stands."""
+    for c in _SPACES:
+        text = text.replace(c, " ")
+    words, found = [w for w in text.split(" ") if w], {}
+    for i in [i for i, w in enumerate(words) if begins[w]]:
+        for n in lengths:
+            if i + n <= len(words) and (gram := " ".join(words[i : i + n])) not in found and begins.may(gram):
+                found[gram] = i + 1
+    return found
+
+
+def known_grams(df: DataFrame, keys: list[str], text: Column, terms: DataFrame, lengths: list[int]) -> DataFrame:
+    """keys, place (from 1), gram: the runs of n words, for n in lengths, that may be one of terms (its only column), where each first
+    stands in its text. Few others get through, which a join with the terms drops.
+
+    A Bloom filter of the terms and their first words goes to the workers (see marks: 32 MB at most). One pass over the texts looks
+    each word up; only where a term may begin runs are put together, so neither all runs of a text nor the text leave the task.
+    """
+    (term,) = terms.columns
+    known = terms.filter(F.col(term).isNotNull()).distinct()
+    both = known.select(F.explode(F.array(F.col(term), F.substring_index(term, " ", 1))).alias("term"))
+    size, filled = bloom(both, 2 * known.count())
+    held, low_bits, shift = df.sparkSession.sparkContext.broadcast(filled), (1 << size) - 1, 32 - size
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filter_, crc = held.value, zlib.crc32
+
+        def may(said: str) -> bool:
+            n = crc(said.encode())
+            b, c = n & low_bits, (n * 0x9E3779B1 & 0xFFFFFFFF) >> shift
+            return bool(filter_[b >> 3] >> (b & 7) & 1 and filter_[c >> 3] >> (c & 7) & 1)
+
+        begins = _Begins(may)
+        for batch in batches:
+            rows, places, grams = [], [], []
+            for i, said in enumerate(batch.column(len(keys))):
+                for gram, place in _terms_in(said.as_py() or "", begins, lengths).items():
+                    rows.append(i)
+                    places.append(place)
+                    grams.append(gram)
+            own = [batch.column(k).take(pa.array(rows, pa.int64())) for k in range(len(keys))]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(places, pa.int32()), pa.array(grams, pa.string())], [*keys, "place", "gram"])
+
+    schema = StructType([*(df.schema[k] for k in keys), StructField("place", IntegerType()), StructField("gram", StringType())])
+    return df.select(*keys, text.alias("_text")).mapInArrow(search, schema)
 
 
 def longest_name(df: DataFrame, key: str, text: Column, names: DataFrame, name: str, lengths: list[int]) -> DataFrame:
     """The longest name each text holds as whole words, the first of equally long ones; texts without a name are left out."""
-    hits = word_grams(df, [key], text, lengths).join(names.select(name).distinct(), F.col("gram") == F.col(name))
+    known = kept(names.select(name).distinct(), "names")
+    hits = known_grams(df, [key], text, known, lengths).join(known, F.col("gram") == F.col(name))
     return hits.groupBy(key).agg(F.min_by(F.struct(name, "place"), F.struct(-F.length(name), F.col("place"), F.col(name))).alias("_v")).select(key, f"_v.{name}", "_v.place")
 
 
 def watchlist(df: DataFrame, key: str, text: Column, watch: DataFrame, watch_key: str, name: str, topic: str, name_words: int, topic_words: int) -> DataFrame:
     """(text, entry) pairs where the text holds the entry's name or topic; the name wins. Kind and first place."""
-    grams = word_grams(df, [key], text, sorted({name_words, topic_words}))
     terms = watch.select(watch_key, F.explode(F.array(F.struct(F.lit(0).alias("rank"), F.lit("name").alias("kind"), F.col(name).alias("term")), F.struct(F.lit(1).alias("rank"), F.lit("topic").alias("kind"), F.col(topic).alias("term")))).alias("_t")).select(watch_key, "_t.*")
+    terms = kept(terms, "terms")
+    grams = known_grams(df, [key], text, terms.select("term"), sorted({name_words, topic_words}))
     hits = grams.join(terms, F.col("gram") == F.col("term"))
     return hits.groupBy(key, watch_key).agg(F.min_by(F.struct("kind", "place"), F.struct("rank", "place")).alias("_v")).select(key, watch_key, "_v.kind", "_v.place")
 

@@ -72,6 +72,44 @@ def test_longest_name(spark):
     assert rows(resolve.longest_name(texts, "id", F.col("t"), names, "name", [1, 2])) == [(1, "belo horizonte", 2)]
 
 
+def test_terms_are_found_in_one_pass_without_all_runs_of_a_text(spark):
+    """Every run of words went to the join, from each place of each text; white space is ASCII only, as in Spark's expressions."""
+    filler = " ".join(f"w{i} v{i % 7}" for i in range(2000))
+    texts = spark.createDataFrame([(1, f"{filler} a\x0bb\n c {filler} a b c"), (2, "a\u00a0b c a\x1cb"), (3, None), (4, ""), (5, "b c"), (5, "x b c"), (None, "a b")], "id int, t string")
+    terms = spark.createDataFrame([("a b",), ("a b c",), ("b c",), ("b c",), (None,), ("",), (" a",), ("v3",)], "term string")
+    hits = resolve.known_grams(texts, ["id"], F.col("t"), terms, [2, 3])
+    assert hits.count() <= 20
+    at = {(r.id, r.gram): r.place for r in hits.filter("id <> 5").collect()}
+    assert at[1, "a b"] == at[1, "a b c"] == 4001 and at[1, "b c"] == 4002
+    assert (2, "a b") not in at and (2, "a b c") not in at
+    assert rows(resolve.longest_name(texts, "id", F.col("t"), terms, "term", [2, 3])) == sorted([(1, "a b c", 4001), (5, "b c", 1), (None, "a b", 1)], key=repr)
+
+
+def test_terms_against_all_runs(spark):
+    """Terms of each length, against plain Python."""
+    import random
+
+    rng = random.Random(5)
+    said = [" ".join(rng.choice("ab cd ef gé h".split()) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    known = [" ".join(rng.choice("ab cd ef gé h".split()) for _ in range(rng.randint(1, 4))) for _ in range(25)]
+    texts, terms = spark.createDataFrame(list(enumerate(said)), "id int, t string"), spark.createDataFrame([(t,) for t in known], "term string")
+    want = []
+    for i, text in enumerate(said):
+        words = text.split()
+        runs = [(-len(run), at + 1, run) for n in (1, 2, 3) for at in range(len(words) - n + 1) if (run := " ".join(words[at : at + n])) in known]
+        if runs:
+            size, at, run = min(runs)
+            want.append((i, run, at))
+    assert sorted(map(tuple, resolve.longest_name(texts, "id", F.col("t"), terms, "term", [1, 2, 3]).collect())) == want
+
+
+def test_first_words_that_are_forgotten(monkeypatch):
+    monkeypatch.setattr(resolve, "_REMEMBERED", 2)
+    begins = resolve._Begins({"a", "a b", "d", "d e"}.__contains__)
+    assert resolve._terms_in("x a b y z d e a b", begins, [2]) == {"a b": 2, "d e": 6}
+    assert len(begins) <= 2
+
+
 def test_html(spark):
     page = '<html><head><title> A b </title><script>x="<p>"</script></head><body><nav><a href="/n">n</a></nav><p>Cargo: Médico</p><p>cargo: Outro</p><table><tr><th>k</th></tr><tr><td>v <b>w</b></td></tr></table><a href="/n">n</a>&amp;</body></html>'
     df = spark.createDataFrame([(1, page), (2, None), (3, "")], "id int, h string")
